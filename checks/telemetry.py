@@ -9,6 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.fixed import ASSESSMENT, COUNTED_EVENT_IDS
+from tidemark.functions.rules import accuracy_group
+from tidemark.operators.events import flag_attempts
+from tidemark.operators.sessions import fold
+from tidemark.session import stage
+
 TITLES = {
     "click": "Bubble Bath (Activity)",
     "error": "Scrub-A-Dub",
@@ -32,6 +38,12 @@ EVENT_IDS = {
     "view": ("05ad839b", "08ff79ad", "27253bdc", "c58186bf"),
 }
 CODES = (2000, 4020, 4070, 4100, 4110)
+COUNTED = tuple(sorted(e for ids in EVENT_IDS.values() for e in ids if e in COUNTED_EVENT_IDS))
+VOCABULARY = {
+    "title": tuple(sorted(TITLES.values())),
+    "type": ("Activity", "Assessment", "Game"),
+    "world": WORLDS,
+}
 
 
 def _case(subject: str, values: dict, otherwise: str) -> str:
@@ -102,6 +114,35 @@ def test_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry(spark, sf_dir).filter(F.col("installation_id").cast("bigint") % 5 == 0)
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training sessions that began as an assessment, and a few whose session is unknown."""
+    train = train_events(spark, sf_dir)
+    right, wrong = F.col("correct_attempts"), F.col("uncorrect_attempts")
+    known = (
+        fold(flag_attempts(train))
+        .filter(F.col("type") == ASSESSMENT)
+        .select(
+            "game_session",
+            "installation_id",
+            "title",
+            F.least(right, F.lit(1)).cast("int").alias("num_correct"),
+            wrong.cast("int").alias("num_incorrect"),
+            F.coalesce(accuracy_group(right, wrong), F.lit(0)).alias("accuracy_group"),
+        )
+    )
+    lost = train.filter(F.col("installation_id").cast("bigint") % 50 == 1)
+    none = F.lit(0)
+    lost = lost.select("installation_id").distinct().select(
+        F.concat(F.lit("lost_"), "installation_id").alias("game_session"),
+        "installation_id",
+        F.lit("Mushroom Sorter (Assessment)").alias("title"),
+        none.alias("num_correct"),
+        none.alias("num_incorrect"),
+        none.alias("accuracy_group"),
+    )
+    return stage(known.unionByName(lost), "labels")
+
+
 _ATTEMPT = """(type = 'Assessment' AND event_code =
     CASE WHEN title = 'Bird Measurer (Assessment)' THEN 4110 ELSE 4100 END)"""
 _PRESENT = "json_exists(event_data, '$.correct')"
