@@ -1,30 +1,24 @@
 """Features of a target moment from everything earlier on the same device.
 
 No (target, earlier session) pairs are made. Devices with few rows are answered by running
-windows, one exchange in all. Devices with more than `max_group` rows, and devices where a
-session is still running when a target starts, go through `prefix`, where no group is ever
-gathered. Both give the same columns, exactly.
+windows, one exchange in all; where some of their sessions were still running when a target
+started, by one array per device. Devices with more than `max_group` rows go through
+`prefix`, where no group is ever gathered. All give the same columns, exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.fixed import ASSESSMENT
 from tidemark.functions.naming import quoted, with_stat
-from tidemark.operators.prefix import (
-    CHUNK,
-    decoded,
-    kth_smallest,
-    ordered_code,
-    prefix_totals,
-)
+from tidemark.operators.prefix import CHUNK, kth_smallest, prefix_totals, ranked_values
 from tidemark.session import small_side, stage
 
 DEVICE = "installation_id"
@@ -94,31 +88,32 @@ def history_features(
     sessions = stage(sessions.filter(F.col(POS).isNotNull()), "sessions")
     targets = stage(targets, "targets")
 
-    changed = F.col("before").isNotNull().cast("int") if replaces else F.lit(0)
-    crowded = (
+    changed = F.col("before").isNotNull() if replaces else F.lit(False)
+    devices = (
         sessions.select(DEVICE, changed.alias("changed"))
-        .unionByName(targets.select(DEVICE, F.lit(0).alias("changed")))
+        .unionByName(targets.select(DEVICE, F.lit(False).alias("changed")))
         .groupBy(DEVICE)
         .agg(F.count("*").alias("n"), F.max("changed").alias("changed"))
-        .filter((F.col("n") > max_group) | (F.col("changed") == 1))
-        .select(DEVICE)
     )
-    crowded = stage(crowded, "crowded")
-    if crowded.isEmpty():
-        return _by_windows(sessions, targets, measures)
-    crowded = small_side(crowded)
-    here = _by_windows(
-        sessions.join(crowded, DEVICE, "left_anti"),
-        targets.join(crowded, DEVICE, "left_anti"),
-        measures,
-    )
-    there = _by_prefix(
-        sessions.join(crowded, DEVICE, "left_semi"),
-        targets.join(crowded, DEVICE, "left_semi"),
-        measures,
-        chunk,
+    path = F.when(F.col("n") > max_group, "prefix").when(F.col("changed"), "arrays")
+    routes = stage(
+        devices.select(DEVICE, path.alias("path")).filter(F.col("path").isNotNull()), "routes"
     )
-    return here.unionByName(there)
+    taken = {row["path"] for row in routes.select("path").distinct().collect()}
+    if not taken:
+        return _by_windows(sessions, targets, measures)
+
+    def part(how: str, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
+        chosen = small_side(devices.select(DEVICE))
+        return sessions.join(chosen, DEVICE, how), targets.join(chosen, DEVICE, how)
+
+    results = [_by_windows(*part("left_anti", routes), measures)]
+    if "arrays" in taken:
+        results.append(_by_arrays(*part("left_semi", routes.filter("path = 'arrays'")), measures))
+    if "prefix" in taken:
+        crowded = part("left_semi", routes.filter("path = 'prefix'"))
+        results.append(_by_prefix(*crowded, measures, chunk))
+    return reduce(DataFrame.unionByName, results)
 
 
 # --- devices with a bounded number of rows ------------------------------------
@@ -180,12 +175,77 @@ def _feature_names(measures: Sequence[Measure]) -> list[str]:
     ]
 
 
-# --- devices of any size --------------------------------------------------------
+def _array_statistic(stat: str, xs: Column, mean: Column) -> Column:
+    n = F.size(xs)
+    total = F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+    if stat == "n":
+        return n.cast("bigint")
+    if stat == "sum":
+        return total
+    if stat == "mean":
+        return total / F.nullif(n, F.lit(0))
+    if stat == "max":
+        return F.get(xs, n - 1)
+    if stat == "median":
+        return (F.get(xs, F.floor((n - 1) / 2).cast("int")) + F.get(xs, F.floor(n / 2).cast("int"))) / 2
+    squares = F.aggregate(xs, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
+    return F.when(n > 1, F.sqrt(squares / F.nullif(n - 1, F.lit(0))))
+
+
+def _by_arrays(
+    sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure]
+) -> DataFrame:
+    """Each target reads the one array of its device, which holds at most MAX_GROUP states."""
+    next_state = F.lead(POS).over(W.partitionBy(DEVICE, "game_session").orderBy(POS))
+    states = sessions.withColumn("until", next_state).select(
+        DEVICE,
+        F.struct(
+            F.col(POS),
+            F.col("until"),
+            F.col("title"),
+            *[m.among().cast("double").alias(f"m{i}") for i, m in enumerate(measures)],
+        ).alias("state"),
+    )
+    blocks = states.groupBy(DEVICE).agg(F.collect_list("state").alias("states"))
+    joined = targets.join(blocks, DEVICE, "left")
+    start, title = F.col(POS), F.col("assessment_title")
+
+    def visible(state: Column) -> Column:
+        ended = F.coalesce(state["until"] < start, F.lit(False))
+        return F.coalesce(state[POS] < start, F.lit(False)) & ~ended
+
+    none = F.array().cast(states.select(F.array("state").alias("s")).schema["s"].dataType)
+    seen = joined.withColumn("seen", F.filter(F.coalesce("states", none), visible)).drop("states")
+
+    def values(i: int, m: Measure) -> Column:
+        rows = F.col("seen")
+        if m.over == SAME_TITLE:
+            rows = F.filter(rows, lambda s: F.coalesce(s["title"] == title, F.lit(False)))
+        known = F.filter(rows, lambda s: s[f"m{i}"].isNotNull())
+        return F.sort_array(F.transform(known, lambda s: s[f"m{i}"]))
+
+    arrays = seen.select(
+        *[F.col(quoted(c)) for c in targets.columns],
+        *[values(i, m).alias(f"x{i}") for i, m in enumerate(measures)],
+    )
+    means = arrays.select(
+        "*",
+        *[
+            _array_statistic("mean", F.col(f"x{i}"), F.lit(None)).alias(f"mean{i}")
+            for i in range(len(measures))
+        ],
+    )
+    features = [
+        _array_statistic(stat, F.col(f"x{i}"), F.col(f"mean{i}")).alias(
+            m.name if stat == "n" else column
+        )
+        for i, m in enumerate(measures)
+        for column, stat in m.columns().items()
+    ]
+    return means.select(*[F.col(quoted(c)) for c in targets.columns], *features)
 
 
-def _integral(df: DataFrame, measures: Sequence[Measure]) -> list[bool]:
-    schema = df.select(*[m.among().alias(f"m{i}") for i, m in enumerate(measures)]).schema
-    return [isinstance(field.dataType, T.IntegralType) for field in schema]
+# --- devices of any size --------------------------------------------------------
 
 
 def _long(sessions: DataFrame, measures: Sequence[Measure], weight: int) -> DataFrame:
@@ -218,13 +278,8 @@ def _by_prefix(
         )
         items = items.unionByName(_long(replaced, measures, -1))
 
-    codes = [F.col("value").cast("bigint"), ordered_code(F.col("value"))]
-    whole = _integral(sessions, measures)
-    whole_ids = [i for i, is_whole in enumerate(whole) if is_whole]
-    is_whole = F.col("measure").isin(whole_ids)
-    items = stage(
-        items.withColumn("code", F.when(is_whole, codes[0]).otherwise(codes[1])), "items"
-    )
+    ranks = stage(ranked_values(items, ["measure", "value"]), "codes")
+    items = stage(items.join(ranks, ["measure", "value"]), "items")
 
     scopes = [
         F.struct(
@@ -265,44 +320,20 @@ def _by_prefix(
     )
 
     n = F.col("n")
-    ranks = F.array_distinct(F.array(F.lit(1).cast("bigint"), F.expr("(n + 1) div 2"), F.expr("n div 2 + 1"), n))
+    wanted_ranks = F.array_distinct(
+        F.array(F.lit(1).cast("bigint"), F.expr("(n + 1) div 2"), F.expr("n div 2 + 1"), n)
+    )
     needs_rank = [i for i, m in enumerate(measures) if {"std", "median", "max"} & set(m.stats)]
     ranked = totals.filter(F.col("measure").isin(needs_rank)).select(
-        *keys, POS, F.explode(ranks).alias("k")
+        *keys, POS, F.explode(wanted_ranks).alias("k")
     )
-    spans = {
-        row["measure"]: (row["low"], row["high"])
-        for row in items.groupBy("measure").agg(F.min("code").alias("low"), F.max("code").alias("high")).collect()
-    }
-    picked = None
-    for kind in (True, False):
-        ids = [i for i in needs_rank if whole[i] is kind and i in spans]
-        if not ids:
-            continue
-        low = F.element_at(
-            F.create_map(*[F.lit(x) for i in ids for x in (i, spans[i][0])]), F.col("measure")
-        )
-        bits = max((spans[i][1] - spans[i][0]).bit_length() for i in ids)
-        mine = F.col("measure").isin(ids)
-        found = kth_smallest(
-            items.filter(mine).withColumn("code", F.col("code") - low),
-            ranked.filter(mine),
-            keys,
-            POS,
-            bits,
-            chunk,
-        )
-        code = F.col("code") + low
-        part = found.select(
-            *keys, POS, "k", (code.cast("double") if kind else decoded(code)).alias("value")
-        )
-        picked = part if picked is None else picked.unionByName(part)
-
+    bits = int(ranks.agg(F.max("code")).first()[0] or 0).bit_length()
     at = [*keys, POS]
-    if picked is None:
-        picked = ranked.withColumn("value", F.lit(None).cast("double"))
-    by_rank = picked.groupBy(*at).agg(
-        F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("v")
+    by_rank = (
+        kth_smallest(items, ranked, keys, POS, bits, chunk)
+        .join(ranks, ["measure", "code"])
+        .groupBy(*at)
+        .agg(F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("v"))
     )
     joined = totals.join(by_rank, at, "left")
     low, high = F.element_at("v", F.lit(1).cast("bigint")), F.element_at("v", n)

@@ -21,7 +21,6 @@ from tidemark.session import stage
 
 CHUNK = 1 << 16
 DIGIT_BITS = 4
-MANTISSA = 1 << 52
 
 
 def prefix_totals(
@@ -68,28 +67,26 @@ def prefix_totals(
     )
 
 
-def ordered_code(value: Column) -> Column:
-    """A long that sorts like the double it comes from; below 2^-1022 counts as zero."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size)).cast("int")
-    two = F.lit(2.0)
-    power = (
-        F.when(size < F.pow(two, guess), guess - 1)
-        .when(size >= F.pow(two, guess + 1), guess + 1)
-        .otherwise(guess)
+def ranked_values(items: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The distinct rows of `columns`, numbered from 0 in sorted order as `code`.
+
+    A global sort numbers the rows within its partitions; the table is written before the
+    numbers are used. What is gathered in one place is one count per partition.
+    """
+    ordered = items.select(*columns).distinct().orderBy(*columns)
+    numbered = stage(ordered.withColumn("id", F.monotonically_increasing_id()), "ranks")
+    numbered = numbered.withColumns(
+        {"part": F.shiftright("id", 33), "nth": F.col("id").bitwiseAND((1 << 33) - 1)}
+    )
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        numbered.groupBy("part")
+        .agg(F.count("*").alias("n"))
+        .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    )
+    return numbered.join(F.broadcast(offsets), "part").select(
+        *columns, (F.col("offset") + F.col("nth")).alias("code")
     )
-    fraction = ((size / F.pow(two, power) - 1) * MANTISSA).cast("bigint")
-    code = (power.cast("bigint") + 1023) * MANTISSA + fraction
-    signed = F.when(value < 0, -code).otherwise(code)
-    return F.when(size < 2.0**-1022, F.lit(0).cast("bigint")).otherwise(signed)
-
-
-def decoded(code: Column) -> Column:
-    size = F.abs(code)
-    power = F.shiftright(size, 52)
-    fraction = size.bitwiseAND(MANTISSA - 1).cast("double") / float(MANTISSA) + 1
-    value = fraction * F.pow(F.lit(2.0), power - 1023)
-    return F.when(code == 0, 0.0).when(code < 0, -value).otherwise(value)
 
 
 def kth_smallest(
