@@ -147,7 +147,7 @@ def session_tables(spark, sf_dir):
 def session_history(spark, sf_dir, measures, max_group=h.MAX_GROUP):
     sessions, targets, _ = session_tables(spark, sf_dir)
     past = sessions.withColumn(h.POS, epoch_seconds(F.col("timestamp")))
-    asked = targets.withColumnRenamed("sec", h.POS)
+    asked = stage(targets.withColumnRenamed("sec", h.POS), "targets")
     return h.history_features(past, asked, measures, max_group)
 
 
@@ -315,7 +315,7 @@ def features_g2(spark, sf_dir):
 @query("features_g2_test", grouped(TEST_HISTORY, G2_PARTS, TARGET_COLUMNS + ","))
 def features_g2_test(spark, sf_dir):
     test = t.test_events(spark, sf_dir)
-    sessions = se.sessions_with_ids(test, t.CODES, t.COUNTED)
+    sessions = stage(se.sessions_with_ids(test, t.CODES, t.COUNTED), "sessions")
     return fe.test_features_from_sessions(sessions, test, t.labels(spark, sf_dir), t.VOCABULARY)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions.naming import quoted
 from tidemark.session import pin
@@ -18,11 +17,11 @@ ORACLES: dict[str, str] = {}
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Floating-point columns rounded, so that the order of additions does not show."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(F.col(quoted(name)), digits).alias(name)
+            f"round({quoted(name)}, {digits}) AS {quoted(name)}"
             if kind in ("double", "float")
-            else F.col(quoted(name))
+            else quoted(name)
             for name, kind in df.dtypes
         ]
     )

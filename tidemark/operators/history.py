@@ -8,7 +8,7 @@ started, by one array per device. Devices with more than `max_group` rows go thr
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -77,6 +77,7 @@ def history_features(
 ) -> DataFrame:
     """`targets` with `n_history` and each measure's statistics over earlier sessions.
 
+    Both tables are read several times: pass staged ones.
     sessions: installation_id, start (integer position), title, type, and the measured
     columns. A column `before` (a struct of the measured columns, null on a session's first
     row) marks rows that replace an earlier state of the same session.
@@ -85,8 +86,7 @@ def history_features(
     """
     measures = [_count(), *measures]
     replaces = "before" in sessions.columns
-    sessions = stage(sessions.filter(F.col(POS).isNotNull()), "sessions")
-    targets = stage(targets, "targets")
+    sessions = sessions.filter(F.col(POS).isNotNull())
 
     changed = F.col("before").isNotNull() if replaces else F.lit(False)
     devices = (
@@ -119,77 +119,70 @@ def history_features(
 # --- devices with a bounded number of rows ------------------------------------
 
 
-def _statistic(stat: str, value: Column, frame) -> Column:
-    if stat == "n":
-        return F.count(value).over(frame)
-    if stat == "sum":
-        return F.coalesce(F.sum(value.cast("double")).over(frame), F.lit(0.0))
+AGGREGATES = {"n": "count", "mean": "avg", "std": "stddev_samp", "max": "max", "sum": "sum"}
+EARLIER = f"ORDER BY {POS} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+FRAMES = {
+    ALL: f"(PARTITION BY {DEVICE} {EARLIER})",
+    ASSESSMENTS: f"(PARTITION BY {DEVICE} {EARLIER})",
+    SAME_TITLE: f"(PARTITION BY {DEVICE}, same {EARLIER})",
+}
+
+
+def _statistic(stat: str, value: str, frame: str) -> str:
     if stat == "median":
-        return F.percentile(value, 0.5).over(frame)
-    by_name = {"std": F.stddev_samp, "mean": F.avg, "max": F.max}
-    return by_name[stat](value.cast("double")).over(frame)
+        return f"percentile({value}, 0.5) OVER {frame}"
+    if stat == "n":
+        return f"count({value}) OVER {frame}"
+    total = f"{AGGREGATES[stat]}(CAST({value} AS DOUBLE)) OVER {frame}"
+    return f"coalesce({total}, 0D)" if stat == "sum" else total
+
+
+def _features(measures: Sequence[Measure]) -> Iterator[tuple[int, str, str, str]]:
+    """Measure number, statistic, sessions that count and column name of every feature."""
+    for i, m in enumerate(measures):
+        for column, stat in m.columns().items():
+            yield i, stat, m.over, m.name if stat == "n" else column
 
 
 def _by_windows(
     sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure]
 ) -> DataFrame:
-    names = [f"m{i}" for i in range(len(measures))]
-    values = {name: m.among() for name, m in zip(names, measures, strict=True)}
-    target_type = targets.schema
     past = sessions.select(
         DEVICE,
         POS,
         F.col("title").alias("same"),
-        *[value.alias(name) for name, value in values.items()],
-        F.lit(None).cast(target_type).alias("target"),
+        *[m.among().alias(f"m{i}") for i, m in enumerate(measures)],
+        F.lit(None).cast(targets.schema).alias("target"),
     )
-    asked = targets.select(
-        DEVICE,
-        POS,
-        F.col("assessment_title").alias("same"),
-        *[F.lit(None).cast(past.schema[name].dataType).alias(name) for name in names],
-        F.struct(*[F.col(quoted(c)) for c in targets.columns]).alias("target"),
+    columns = ", ".join(quoted(c) for c in targets.columns)
+    asked = targets.selectExpr(
+        DEVICE, POS, "assessment_title AS same", f"struct({columns}) AS target"
     )
-    earlier = (W.unboundedPreceding, -1)
-    frames = {
-        ALL: W.partitionBy(DEVICE).orderBy(POS).rangeBetween(*earlier),
-        SAME_TITLE: W.partitionBy(DEVICE, "same").orderBy(POS).rangeBetween(*earlier),
-    }
-    frames[ASSESSMENTS] = frames[ALL]
     features = [
-        _statistic(stat, F.col(name), frames[m.over]).alias(column if stat != "n" else m.name)
-        for name, m in zip(names, measures, strict=True)
-        for column, stat in m.columns().items()
+        f"{_statistic(stat, f'm{i}', FRAMES[over])} AS {quoted(name)}"
+        for i, stat, over, name in _features(measures)
     ]
     return (
-        past.unionByName(asked)
-        .select("target", *features)
-        .filter(F.col("target").isNotNull())
-        .select("target.*", *[quoted(c) for c in _feature_names(measures)])
+        past.unionByName(asked, allowMissingColumns=True)
+        .selectExpr("target", *features)
+        .filter("target IS NOT NULL")
+        .selectExpr("target.*", *[quoted(name) for *_, name in _features(measures)])
     )
 
 
-def _feature_names(measures: Sequence[Measure]) -> list[str]:
-    return [
-        m.name if stat == "n" else column for m in measures for column, stat in m.columns().items()
-    ]
-
-
-def _array_statistic(stat: str, xs: Column, mean: Column) -> Column:
-    n = F.size(xs)
-    total = F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
-    if stat == "n":
-        return n.cast("bigint")
-    if stat == "sum":
-        return total
-    if stat == "mean":
-        return total / F.nullif(n, F.lit(0))
-    if stat == "max":
-        return F.get(xs, n - 1)
-    if stat == "median":
-        return (F.get(xs, F.floor((n - 1) / 2).cast("int")) + F.get(xs, F.floor(n / 2).cast("int"))) / 2
-    squares = F.aggregate(xs, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
-    return F.when(n > 1, F.sqrt(squares / F.nullif(n - 1, F.lit(0))))
+def _array_statistic(stat: str, xs: str) -> str:
+    """A statistic of a sorted array of doubles, in SQL; null where it has no value."""
+    n, total = f"size({xs})", f"aggregate({xs}, 0D, (s, v) -> s + v)"
+    mean = f"({total} / nullif({n}, 0))"
+    squares = f"aggregate({xs}, 0D, (s, v) -> s + (v - mean_{xs}) * (v - mean_{xs}))"
+    return {
+        "n": f"CAST({n} AS BIGINT)",
+        "sum": total,
+        "mean": mean,
+        "max": f"get({xs}, {n} - 1)",
+        "median": f"(get({xs}, ({n} - 1) div 2) + get({xs}, {n} div 2)) / 2",
+        "std": f"CASE WHEN {n} > 1 THEN sqrt({squares} / ({n} - 1)) END",
+    }[stat]
 
 
 def _by_arrays(
@@ -207,42 +200,25 @@ def _by_arrays(
         ).alias("state"),
     )
     blocks = states.groupBy(DEVICE).agg(F.collect_list("state").alias("states"))
-    joined = targets.join(blocks, DEVICE, "left")
-    start, title = F.col(POS), F.col("assessment_title")
-
-    def visible(state: Column) -> Column:
-        ended = F.coalesce(state["until"] < start, F.lit(False))
-        return F.coalesce(state[POS] < start, F.lit(False)) & ~ended
-
-    none = F.array().cast(states.select(F.array("state").alias("s")).schema["s"].dataType)
-    seen = joined.withColumn("seen", F.filter(F.coalesce("states", none), visible)).drop("states")
-
-    def values(i: int, m: Measure) -> Column:
-        rows = F.col("seen")
-        if m.over == SAME_TITLE:
-            rows = F.filter(rows, lambda s: F.coalesce(s["title"] == title, F.lit(False)))
-        known = F.filter(rows, lambda s: s[f"m{i}"].isNotNull())
-        return F.sort_array(F.transform(known, lambda s: s[f"m{i}"]))
-
-    arrays = seen.select(
-        *[F.col(quoted(c)) for c in targets.columns],
-        *[values(i, m).alias(f"x{i}") for i, m in enumerate(measures)],
-    )
-    means = arrays.select(
-        "*",
-        *[
-            _array_statistic("mean", F.col(f"x{i}"), F.lit(None)).alias(f"mean{i}")
-            for i in range(len(measures))
-        ],
+    seen = targets.join(blocks, DEVICE, "left").selectExpr(
+        *[quoted(c) for c in targets.columns],
+        f"""filter(states, s -> s.{POS} < {POS} AND (s.until IS NULL OR s.until >= {POS})) AS seen""",
     )
+    arrays = []
+    for i, m in enumerate(measures):
+        value = f"s.m{i}"
+        if m.over == SAME_TITLE:
+            value = f"CASE WHEN s.title = assessment_title THEN {value} END"
+        known = f"filter(transform(seen, s -> {value}), v -> v IS NOT NULL)"
+        arrays.append(f"sort_array(coalesce({known}, CAST(array() AS ARRAY<DOUBLE>))) AS m{i}")
+    kept = [quoted(c) for c in targets.columns]
+    spread = {i for i, m in enumerate(measures) if "std" in m.stats}
+    means = [f"{_array_statistic('mean', f'm{i}')} AS mean_m{i}" for i in sorted(spread)]
     features = [
-        _array_statistic(stat, F.col(f"x{i}"), F.col(f"mean{i}")).alias(
-            m.name if stat == "n" else column
-        )
-        for i, m in enumerate(measures)
-        for column, stat in m.columns().items()
+        f"{_array_statistic(stat, f'm{i}')} AS {quoted(name)}"
+        for i, stat, _, name in _features(measures)
     ]
-    return means.select(*[F.col(quoted(c)) for c in targets.columns], *features)
+    return seen.selectExpr(*kept, *arrays).selectExpr("*", *means).selectExpr(*kept, *features)
 
 
 # --- devices of any size --------------------------------------------------------
@@ -278,8 +254,12 @@ def _by_prefix(
         )
         items = items.unionByName(_long(replaced, measures, -1))
 
-    ranks = stage(ranked_values(items, ["measure", "value"]), "codes")
-    items = stage(items.join(ranks, ["measure", "value"]), "items")
+    items = stage(items, "items")
+    ordered = {"std", "median", "max"}
+    needs_rank = [i for i, m in enumerate(measures) if ordered & set(m.stats)]
+    sortable = items.filter(F.col("measure").isin(needs_rank))
+    ranks = stage(ranked_values(sortable, ["measure", "value"]), "codes")
+    coded = stage(sortable.join(ranks, ["measure", "value"]), "coded")
 
     scopes = [
         F.struct(
@@ -323,14 +303,13 @@ def _by_prefix(
     wanted_ranks = F.array_distinct(
         F.array(F.lit(1).cast("bigint"), F.expr("(n + 1) div 2"), F.expr("n div 2 + 1"), n)
     )
-    needs_rank = [i for i, m in enumerate(measures) if {"std", "median", "max"} & set(m.stats)]
     ranked = totals.filter(F.col("measure").isin(needs_rank)).select(
         *keys, POS, F.explode(wanted_ranks).alias("k")
     )
     bits = int(ranks.agg(F.max("code")).first()[0] or 0).bit_length()
     at = [*keys, POS]
     by_rank = (
-        kth_smallest(items, ranked, keys, POS, bits, chunk)
+        kth_smallest(coded, ranked, keys, POS, bits, chunk)
         .join(ranks, ["measure", "code"])
         .groupBy(*at)
         .agg(F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("v"))
@@ -353,17 +332,16 @@ def _by_prefix(
         high.alias("max"),
     )
     picks = []
-    for i, m in enumerate(measures):
-        for column, stat in m.columns().items():
-            value = F.max(F.when(F.col("measure") == i, F.col(stat)))
-            if stat == "n":
-                value, column = F.coalesce(value, F.lit(0.0)).cast("bigint"), m.name
-            elif stat == "sum":
-                value = F.coalesce(value, F.lit(0.0))
-            picks.append(value.alias(column))
+    for i, stat, _, name in _features(measures):
+        value = F.max(F.when(F.col("measure") == i, F.col(stat)))
+        if stat == "n":
+            value = F.coalesce(value, F.lit(0.0)).cast("bigint")
+        elif stat == "sum":
+            value = F.coalesce(value, F.lit(0.0))
+        picks.append(value.alias(name))
     wide = wanted.join(stats, at, "left").groupBy(*target_keys).agg(*picks)
     features = targets.join(wide, target_keys, "left")
-    zero = {m.name if s == "n" else c: 0 for m in measures for c, s in m.columns().items() if s in ("n", "sum")}
+    zero = [name for _, stat, _, name in _features(measures) if stat in ("n", "sum")]
     return features.withColumns(
         {c: F.coalesce(F.col(quoted(c)), F.lit(0).cast(wide.schema[c].dataType)) for c in zero}
     )

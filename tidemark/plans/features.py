@@ -21,6 +21,7 @@ from tidemark.operators.lookups import (
     with_session_start,
 )
 from tidemark.operators.running import session_states
+from tidemark.session import stage
 
 SESSION_METRICS = ("game_time", "event_count", "game_time_mean_diff", "game_time_std_diff")
 ATTEMPT_METRICS = ("correct_attempts", "uncorrect_attempts", "accuracy_rate")
@@ -88,10 +89,11 @@ def session_features(
 ) -> DataFrame:
     """Features over whole sessions that began before the target; missing ones stay null.
 
-    `vocabulary` lists the titles, types and worlds that get a count column.
+    `sessions` is read several times: pass a staged table. `vocabulary` lists the titles,
+    types and worlds that get a count column.
     """
     past = sessions.withColumn(h.POS, epoch_seconds(F.col("timestamp")))
-    asked = targets.withColumnRenamed("sec", h.POS)
+    asked = stage(targets.withColumnRenamed("sec", h.POS), "targets")
     measures = session_measures(sessions.columns, vocabulary)
     features = h.history_features(past, asked, measures, max_group)
     return features.withColumns(_placeholders("ttw")).drop("n_history", h.POS)
@@ -144,6 +146,7 @@ def event_features(
         )
     states = states.join(session_props(events, props), "game_session", "left")
     measures = event_measures(states.columns, vocabulary, prop_columns(props))
+    states, asked = stage(states, "states"), stage(asked, "targets")
     features = h.history_features(states, asked, measures, max_group)
     lonely = (F.col("n_history") == 0).cast("bigint")
     features = features.withColumns(
@@ -231,7 +234,7 @@ def time_by_value(
             )
             measures.append(measure)
             names.update({c: f"{stat}_{measure.name}" for c, stat in measure.columns().items()})
-    asked = targets.withColumnRenamed("sec", h.POS)
+    asked = stage(targets.withColumnRenamed("sec", h.POS), "targets")
     features = h.history_features(past, asked, measures, max_group)
     return features.select(
         h.DEVICE,
