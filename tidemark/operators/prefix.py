@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordering import numbered
 from tidemark.session import stage
 
 CHUNK = 1 << 16
@@ -68,25 +69,8 @@ def prefix_totals(
 
 
 def ranked_values(items: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The distinct rows of `columns`, numbered from 0 in sorted order as `code`.
-
-    A global sort numbers the rows within its partitions; the table is written before the
-    numbers are used. What is gathered in one place is one count per partition.
-    """
-    ordered = items.select(*columns).distinct().orderBy(*columns)
-    numbered = stage(ordered.withColumn("id", F.monotonically_increasing_id()), "ranks")
-    numbered = numbered.withColumns(
-        {"part": F.shiftright("id", 33), "nth": F.col("id").bitwiseAND((1 << 33) - 1)}
-    )
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        numbered.groupBy("part")
-        .agg(F.count("*").alias("n"))
-        .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    return numbered.join(F.broadcast(offsets), "part").select(
-        *columns, (F.col("offset") + F.col("nth")).alias("code")
-    )
+    """The distinct rows of `columns`, numbered from 0 in sorted order as `code`."""
+    return numbered(items.select(*columns).distinct(), columns, "code")
 
 
 def kth_smallest(
