@@ -30,6 +30,13 @@ TYPES = {
     "view": "Game",
 }
 WORLDS = ("CRYSTALCAVES", "MAGMAPEAK", "TREETOPCITY")
+WORLD_OF = {
+    "click": "MAGMAPEAK",
+    "error": "TREETOPCITY",
+    "purchase": "TREETOPCITY",
+    "signup": "CRYSTALCAVES",
+    "view": "CRYSTALCAVES",
+}
 EVENT_IDS = {
     "click": ("1325467d", "7372e1a5", "1375ccb7", "d185d3ea"),
     "error": ("222660ff", "9e34ea74", "4a4c3d21", "b2dba42b"),
@@ -53,7 +60,7 @@ def _case(subject: str, values: dict, otherwise: str) -> str:
 
 TITLE = _case("event_type", TITLES, "Other")
 TYPE = _case("event_type", TYPES, "Clip")
-WORLD = _case("CAST(user_id % 3 AS STRING)", {str(i): w for i, w in enumerate(WORLDS)}, "NONE")
+WORLD = _case("event_type", WORLD_OF, "NONE")
 EVENT_ID = _case(
     "event_type || '_' || CAST(k % 4 AS STRING)",
     {f"{t}_{i}": e for t, ids in EVENT_IDS.items() for i, e in enumerate(ids)},

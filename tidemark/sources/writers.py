@@ -10,7 +10,11 @@ def table(df: DataFrame, path: str, form: str = "parquet") -> None:
     """Replace a table; CSV carries a header and doubles inner quotes."""
     writer = df.write.mode("overwrite")
     if form == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = (
+            writer.option("header", True)
+            .option("escape", '"')
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        )
     writer.format(form).save(path)
 
 
