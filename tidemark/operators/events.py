@@ -73,6 +73,8 @@ def session_props(
     events: DataFrame, props: Mapping[str, Iterable[str]] = EVENT_PROPS
 ) -> DataFrame:
     """One row per session with the sum of every declared property, 0 where none was seen."""
+    if not props:
+        return events.select("game_session").distinct()
     return with_props(events, props).groupBy("game_session").agg(*prop_sums(props))
 
 
