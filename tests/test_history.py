@@ -3,7 +3,6 @@ import random
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.fixtures import BIRD, CODES, MUSHROOM, VOCABULARY, event, events, labels
 from tidemark.operators import history as h
@@ -146,7 +145,7 @@ MEASURES = [
 
 def measures():
     return [
-        h.Measure(f"{column}_{over}", F.col(column), h.STATS_AND_SUM, over)
+        h.Measure(f"{column}_{over}", column, h.STATS_AND_SUM, over)
         for column, over in MEASURES
     ]
 

@@ -33,6 +33,13 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(value: object) -> str:
+    """A value as SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def reject_case_twins(columns: Iterable[str]) -> None:
     """Two names that differ only in case cannot be told apart by Spark."""
     seen: dict[str, str] = {}

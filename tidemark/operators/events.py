@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import COUNTED_EVENT_IDS, EVENT_PROPS
 from tidemark.functions.attempts import FLAGS
-from tidemark.functions.naming import code_column, id_column, prop_column
+from tidemark.functions.naming import code_column, id_column, literal, prop_column, quoted
 from tidemark.session import small_side
 
 
@@ -38,18 +38,24 @@ def counted_events(events: DataFrame, ids: Iterable[str] = COUNTED_EVENT_IDS) ->
     return events.filter(F.col("event_id").isin(list(ids)))
 
 
+def _count_if(column: str, value: object, name: str) -> Column:
+    return F.expr(f"count_if({column} = {literal(value)}) AS {quoted(name)}")
+
+
 def code_counts(codes: Iterable[object]) -> list[Column]:
-    return [F.count_if(F.col("event_code") == code).alias(code_column(code)) for code in codes]
+    return [_count_if("event_code", code, code_column(code)) for code in codes]
 
 
 def id_counts(ids: Iterable[str] = COUNTED_EVENT_IDS) -> list[Column]:
-    return [F.count_if(F.col("event_id") == event_id).alias(id_column(event_id)) for event_id in ids]
+    return [_count_if("event_id", event_id, id_column(event_id)) for event_id in ids]
 
 
 def with_props(
     events: DataFrame, props: Mapping[str, Iterable[str]] = EVENT_PROPS
 ) -> DataFrame:
     """Add a struct of the declared properties, parsed only on events that declare any."""
+    if not props:
+        return events
     names = sorted({name for declared in props.values() for name in declared})
     layout = ", ".join(f"{name} double" for name in names)
     declares = F.col("event_id").isin(sorted(props))
@@ -60,12 +66,11 @@ def prop_sums(props: Mapping[str, Iterable[str]] = EVENT_PROPS) -> list[Column]:
     """Sums of declared properties; a declared property missing from a payload is an error."""
     sums = []
     for event_id, names in props.items():
+        wanted = literal(event_id)
         for name in names:
-            value = F.col("props").getField(name)
-            message = F.concat(F.lit(f"event {event_id} has no {name}: "), F.col("event_data"))
-            strict = F.when(value.isNull(), F.raise_error(message).cast("double")).otherwise(value)
-            per_event = F.when(F.col("event_id") == event_id, strict).otherwise(0.0)
-            sums.append(F.sum(per_event).alias(prop_column(event_id, name)))
+            missing = f"raise_error(concat({literal(f'event {event_id} has no {name}: ')}, event_data))"
+            value = f"CASE WHEN event_id = {wanted} THEN coalesce(props.{name}, {missing}) ELSE 0D END"
+            sums.append(F.expr(f"sum({value}) AS {quoted(prop_column(event_id, name))}"))
     return sums
 
 

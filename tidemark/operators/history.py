@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.fixed import ASSESSMENT
-from tidemark.functions.naming import quoted, with_stat
+from tidemark.functions.naming import literal, quoted, with_stat
 from tidemark.operators.prefix import CHUNK, kth_smallest, prefix_totals, ranked_values
 from tidemark.session import small_side, stage
 
@@ -35,16 +35,16 @@ MAX_GROUP = 4096
 
 @dataclass(frozen=True)
 class Measure:
-    """One session column, the sessions that count, and the statistics wanted of it."""
+    """A value of a session in SQL, the sessions that count, and the statistics wanted of it."""
 
     name: str
-    value: Column
+    value: str
     stats: Sequence[str] = STATS
     over: str = ALL
 
-    def among(self) -> Column:
+    def among(self) -> str:
         if self.over == ASSESSMENTS:
-            return F.when(F.col("type") == ASSESSMENT, self.value)
+            return f"CASE WHEN type = {literal(ASSESSMENT)} THEN {self.value} END"
         return self.value
 
     def columns(self) -> dict[str, str]:
@@ -54,18 +54,21 @@ class Measure:
 def of_columns(
     columns: Iterable[str], stats: Sequence[str] = STATS, over: str = ALL, prefix: str = ""
 ) -> list[Measure]:
-    return [Measure(prefix + c, F.col(quoted(c)), stats, over) for c in columns]
+    return [Measure(prefix + c, quoted(c), stats, over) for c in columns]
+
+
+def times(column: str, value: object) -> str:
+    """1 where the column has the value."""
+    return f"CASE WHEN {quoted(column)} = {literal(value)} THEN 1 END"
 
 
 def occurrences(column: str, values: Iterable[str], prefix: str) -> list[Measure]:
     """How many earlier sessions have each value; the suffix is that of a summed 0/1 column."""
-    return [
-        Measure(f"{prefix}_{v}", F.when(F.col(column) == v, 1), ("sum",)) for v in values
-    ]
+    return [Measure(f"{prefix}_{v}", times(column, v), ("sum",)) for v in values]
 
 
 def _count() -> Measure:
-    return Measure("n_history", F.lit(1), ("n",))
+    return Measure("n_history", "1", ("n",))
 
 
 def history_features(
@@ -147,13 +150,9 @@ def _features(measures: Sequence[Measure]) -> Iterator[tuple[int, str, str, str]
 def _by_windows(
     sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure]
 ) -> DataFrame:
-    past = sessions.select(
-        DEVICE,
-        POS,
-        F.col("title").alias("same"),
-        *[m.among().alias(f"m{i}") for i, m in enumerate(measures)],
-        F.lit(None).cast(targets.schema).alias("target"),
-    )
+    past = sessions.selectExpr(
+        DEVICE, POS, "title AS same", *[f"{m.among()} AS m{i}" for i, m in enumerate(measures)]
+    ).withColumn("target", F.lit(None).cast(targets.schema))
     columns = ", ".join(quoted(c) for c in targets.columns)
     asked = targets.selectExpr(
         DEVICE, POS, "assessment_title AS same", f"struct({columns}) AS target"
@@ -190,14 +189,9 @@ def _by_arrays(
 ) -> DataFrame:
     """Each target reads the one array of its device, which holds at most MAX_GROUP states."""
     next_state = F.lead(POS).over(W.partitionBy(DEVICE, "game_session").orderBy(POS))
-    states = sessions.withColumn("until", next_state).select(
-        DEVICE,
-        F.struct(
-            F.col(POS),
-            F.col("until"),
-            F.col("title"),
-            *[m.among().cast("double").alias(f"m{i}") for i, m in enumerate(measures)],
-        ).alias("state"),
+    values = [f"CAST({m.among()} AS DOUBLE) AS m{i}" for i, m in enumerate(measures)]
+    states = sessions.withColumn("until", next_state).selectExpr(
+        DEVICE, f"struct({POS}, until, title, {', '.join(values)}) AS state"
     )
     blocks = states.groupBy(DEVICE).agg(F.collect_list("state").alias("states"))
     seen = targets.join(blocks, DEVICE, "left").selectExpr(
@@ -227,20 +221,20 @@ def _by_arrays(
 def _long(sessions: DataFrame, measures: Sequence[Measure], weight: int) -> DataFrame:
     """One row per session and measure: device, measure, scope, start, value, weight."""
     entries = [
-        F.struct(
-            F.lit(i).alias("measure"),
-            (F.col("title") if m.over == SAME_TITLE else F.lit("")).alias("scope"),
-            m.among().cast("double").alias("value"),
-        )
+        f"struct({i} AS measure, {_scope(m, 'title')} AS scope, CAST({m.among()} AS DOUBLE) AS value)"
         for i, m in enumerate(measures)
     ]
     return (
-        sessions.select(DEVICE, POS, F.explode(F.array(*entries)).alias("entry"))
-        .select(DEVICE, POS, "entry.*", F.lit(weight).cast("bigint").alias("weight"))
-        .filter(F.col("value").isNotNull() & F.col("scope").isNotNull())
+        sessions.selectExpr(DEVICE, POS, f"explode(array({', '.join(entries)})) AS entry")
+        .selectExpr(DEVICE, POS, "entry.*", f"CAST({weight} AS BIGINT) AS weight")
+        .filter("value IS NOT NULL AND scope IS NOT NULL")
     )
 
 
+def _scope(measure: Measure, title: str) -> str:
+    return title if measure.over == SAME_TITLE else "''"
+
+
 def _by_prefix(
     sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure], chunk: int
 ) -> DataFrame:
@@ -262,15 +256,12 @@ def _by_prefix(
     coded = stage(sortable.join(ranks, ["measure", "value"]), "coded")
 
     scopes = [
-        F.struct(
-            F.lit(i).alias("measure"),
-            (F.col("assessment_title") if m.over == SAME_TITLE else F.lit("")).alias("scope"),
-        )
+        f"struct({i} AS measure, {_scope(m, 'assessment_title')} AS scope)"
         for i, m in enumerate(measures)
     ]
     target_keys = [DEVICE, TARGET]
     wanted = stage(
-        targets.select(*target_keys, POS, F.explode(F.array(*scopes)).alias("w"))
+        targets.selectExpr(*target_keys, POS, f"explode(array({', '.join(scopes)})) AS w")
         .select(*target_keys, POS, "w.*")
         .filter(F.col(POS).isNotNull() & F.col("scope").isNotNull()),
         "wanted",
@@ -333,15 +324,15 @@ def _by_prefix(
     )
     picks = []
     for i, stat, _, name in _features(measures):
-        value = F.max(F.when(F.col("measure") == i, F.col(stat)))
+        value = f"max(CASE WHEN measure = {i} THEN {stat} END)"
         if stat == "n":
-            value = F.coalesce(value, F.lit(0.0)).cast("bigint")
-        elif stat == "sum":
-            value = F.coalesce(value, F.lit(0.0))
-        picks.append(value.alias(name))
+            value = f"CAST({value} AS BIGINT)"
+        picks.append(F.expr(f"{value} AS {quoted(name)}"))
     wide = wanted.join(stats, at, "left").groupBy(*target_keys).agg(*picks)
-    features = targets.join(wide, target_keys, "left")
-    zero = [name for _, stat, _, name in _features(measures) if stat in ("n", "sum")]
-    return features.withColumns(
-        {c: F.coalesce(F.col(quoted(c)), F.lit(0).cast(wide.schema[c].dataType)) for c in zero}
-    )
+    zero = {name for _, stat, _, name in _features(measures) if stat in ("n", "sum")}
+    features = [
+        f"coalesce({quoted(name)}, 0) AS {quoted(name)}" if name in zero else quoted(name)
+        for *_, name in _features(measures)
+    ]
+    kept = [quoted(c) for c in targets.columns]
+    return targets.join(wide, target_keys, "left").selectExpr(*kept, *features)

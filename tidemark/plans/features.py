@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.fixed import GROUP_LABELS, NO_TITLE, NO_TYPE, NO_WORLD
-from tidemark.functions.naming import prop_columns, quoted, reject_case_twins, starting_with
+from tidemark.functions.naming import (
+    literal,
+    prop_columns,
+    quoted,
+    reject_case_twins,
+    starting_with,
+)
 from tidemark.functions.rules import accuracy_group, accuracy_rate, epoch_seconds, time_features
 from tidemark.operators import history as h
-from tidemark.operators.events import flag_attempts, last_per_device, session_props
+from tidemark.operators.events import flag_attempts, last_per_device
 from tidemark.operators.lookups import (
     common_group_by_title,
     first_by_title,
@@ -20,7 +26,7 @@ from tidemark.operators.lookups import (
     session_starts,
     with_session_start,
 )
-from tidemark.operators.running import session_states
+from tidemark.operators.running import session_states, whole_sessions
 from tidemark.session import stage
 
 SESSION_METRICS = ("game_time", "event_count", "game_time_mean_diff", "game_time_std_diff")
@@ -103,7 +109,6 @@ def event_measures(
     columns: Iterable[str], vocabulary: dict[str, Sequence[str]], props: Iterable[str]
 ) -> list[h.Measure]:
     """Every feature of the event-level history."""
-    group = F.coalesce(accuracy_group(F.col("correct_attempts"), F.col("uncorrect_attempts")), F.lit(0))
     five = h.STATS_AND_SUM
     return [
         *h.of_columns(EVENT_METRICS, five),
@@ -111,17 +116,38 @@ def event_measures(
         *h.of_columns(props, five),
         *h.of_columns(starting_with(columns, "cnt_event_code"), ("sum",)),
         *[
-            h.Measure(f"accuracy_group_{k}", F.when(group == k, 1), ("n",))
+            h.Measure(f"accuracy_group_{k}", h.times("accuracy_group", k), ("n",))
             for k in GROUP_LABELS
         ],
         *_counts_of_values(vocabulary, "cnt"),
     ]
 
 
+def _scored(right: Column, wrong: Column) -> dict[str, Column]:
+    """Accuracy of a session; without an attempt it counts as group 0 here."""
+    return {
+        "accuracy_rate": accuracy_rate(right, wrong),
+        "accuracy_group": F.coalesce(accuracy_group(right, wrong), F.lit(0)),
+    }
+
+
+def _with_scores(states: DataFrame) -> DataFrame:
+    names = ("correct_attempts", "uncorrect_attempts")
+    states = states.withColumns(_scored(*[F.col(c) for c in names]))
+    if "before" not in states.columns:
+        return states
+    before = F.col("before")
+    scored = before
+    for name, value in _scored(*[before[c] for c in names]).items():
+        scored = scored.withField(name, value)
+    return states.withColumn("before", F.when(before.isNotNull(), scored))
+
+
 def event_features(
     events: DataFrame,
+    sessions: DataFrame,
     targets: DataFrame,
-    codes: Iterable[object],
+    codes: Sequence[object],
     vocabulary: dict[str, Sequence[str]],
     props: dict[str, Sequence[str]],
     max_group: int = h.MAX_GROUP,
@@ -131,37 +157,22 @@ def event_features(
     A session still running counts cut short, but with its whole payload sums. Missing
     features are 0, and a target without history counts as one session of group 0.
     """
-    moments = events.withColumn("sec", epoch_seconds(F.col("timestamp")))
-    states, asked = session_states(moments, targets, codes)
-    rate = accuracy_rate(F.col("correct_attempts"), F.col("uncorrect_attempts"))
-    states = states.withColumn("accuracy_rate", rate)
-    if "before" in states.columns:
-        earlier = F.col("before")
-        earlier_rate = accuracy_rate(
-            earlier["correct_attempts"], earlier["uncorrect_attempts"]
-        )
-        states = states.withColumn(
-            "before",
-            F.when(earlier.isNotNull(), earlier.withField("accuracy_rate", earlier_rate)),
-        )
-    states = states.join(session_props(events, props), "game_session", "left")
+    targets = stage(targets, "targets")
+    states, asked = session_states(events, sessions, targets, codes, props)
+    states, asked = stage(_with_scores(states), "states"), stage(asked, "asked")
     measures = event_measures(states.columns, vocabulary, prop_columns(props))
-    states, asked = stage(states, "states"), stage(asked, "targets")
     features = h.history_features(states, asked, measures, max_group)
     lonely = (F.col("n_history") == 0).cast("bigint")
     features = features.withColumns(
         {**_placeholders("cnt"), "accuracy_group_0": F.col("accuracy_group_0") + lonely}
-    )
-    filled = {
-        c: F.coalesce(F.col(quoted(c)), F.lit(0).cast(kind))
+    ).drop("n_history", h.POS)
+    filled = [
+        f"coalesce({quoted(c)}, CAST(0 AS {kind})) AS {quoted(c)}"
+        if kind in ("double", "int", "bigint") and c != "sec"
+        else quoted(c)
         for c, kind in features.dtypes
-        if kind in ("double", "int", "bigint") and c not in (h.POS, "sec")
-    }
-    return (
-        features.withColumns(filled)
-        .withColumnRenamed("sec", "assessment_start_timestamp")
-        .drop("n_history", h.POS)
-    )
+    ]
+    return features.selectExpr(*filled).withColumnRenamed("sec", "assessment_start_timestamp")
 
 
 def features_from_sessions(
@@ -188,32 +199,39 @@ def test_features_from_sessions(
     return session_features(test_sessions, targets, vocabulary, max_group)
 
 
+def _flagged(events: DataFrame) -> DataFrame:
+    return flag_attempts(events, "text").withColumn("sec", epoch_seconds(F.col("timestamp")))
+
+
 def features_from_events(
     train_events: DataFrame,
     labels: DataFrame,
-    codes: Iterable[object],
+    codes: Sequence[object],
     vocabulary: dict[str, Sequence[str]],
     props: dict[str, Sequence[str]],
     max_group: int = h.MAX_GROUP,
 ) -> DataFrame:
     """Training features, event-level history."""
-    flagged = flag_attempts(train_events, "text")
-    targets = train_targets(labels, train_events, session_starts(train_events))
-    return event_features(flagged, targets, codes, vocabulary, props, max_group)
+    flagged = _flagged(train_events)
+    sessions = whole_sessions(flagged, codes, props)
+    starts = sessions.select(h.DEVICE, "game_session", "timestamp")
+    targets = train_targets(labels, train_events, starts)
+    return event_features(flagged, sessions, targets, codes, vocabulary, props, max_group)
 
 
 def test_features_from_events(
     test_events: DataFrame,
     labels: DataFrame,
-    codes: Iterable[object],
+    codes: Sequence[object],
     vocabulary: dict[str, Sequence[str]],
     props: dict[str, Sequence[str]],
     max_group: int = h.MAX_GROUP,
 ) -> DataFrame:
+    """Features of the assessments to predict, event-level history."""
+    flagged = _flagged(test_events)
+    sessions = whole_sessions(flagged, codes, props)
     targets = test_targets(last_per_device(test_events), labels)
-    return event_features(
-        flag_attempts(test_events, "text"), targets, codes, vocabulary, props, max_group
-    )
+    return event_features(flagged, sessions, targets, codes, vocabulary, props, max_group)
 
 
 def time_by_value(
@@ -229,9 +247,8 @@ def time_by_value(
     names, measures = {}, []
     for metric in ("game_time", "event_count"):
         for value in values:
-            measure = h.Measure(
-                f"{metric}_{value}", F.when(F.col(column) == value, F.col(metric)), stats
-            )
+            where = f"CASE WHEN {quoted(column)} = {literal(value)} THEN {metric} END"
+            measure = h.Measure(f"{metric}_{value}", where, stats)
             measures.append(measure)
             names.update({c: f"{stat}_{measure.name}" for c, stat in measure.columns().items()})
     asked = stage(targets.withColumnRenamed("sec", h.POS), "targets")
