@@ -6,6 +6,7 @@ from tests.fixtures import STORY, events
 from tidemark import schemas
 from tidemark.operators import specs as sp
 from tidemark.sources import readers as rd
+from tidemark.session import scratch_dir, stage
 from tidemark.sources import writers as wr
 
 
@@ -73,3 +74,11 @@ def test_report_rows(spark):
 def test_malformed_spec_is_an_error(spark):
     with pytest.raises(Exception, match="MALFORMED"):
         sp.property_map(specs(spark, "[{")).collect()
+
+
+def test_staged_tables_go_to_the_named_folder(spark):
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert scratch_dir(spark) == named
+    assert stage(spark.range(4), "four").inputFiles()[0].removeprefix("file:").startswith(
+        f"{named}/four-"
+    )

@@ -71,6 +71,11 @@ def rounded_settings(params: Mapping[str, float]) -> dict[str, float]:
     return {k: int(round(v)) if k in INTEGER_SETTINGS else v for k, v in params.items()}
 
 
+def truncated_settings(params: Mapping[str, float]) -> dict[str, float]:
+    """Search settings with the integer ones cut towards zero."""
+    return {k: int(v) if k in INTEGER_SETTINGS else v for k, v in params.items()}
+
+
 def rounded_setting(name: Column, value: Column) -> Column:
     return F.when(name.isin(*INTEGER_SETTINGS), F.bround(value, 0)).otherwise(value)
 

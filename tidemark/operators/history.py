@@ -253,7 +253,7 @@ def _by_prefix(
     needs_rank = [i for i, m in enumerate(measures) if ordered & set(m.stats)]
     sortable = items.filter(F.col("measure").isin(needs_rank))
     ranks = stage(ranked_values(sortable, ["measure", "value"]), "codes")
-    coded = stage(sortable.join(ranks, ["measure", "value"]), "coded")
+    coded = stage(sortable.join(small_side(ranks), ["measure", "value"]), "coded")
 
     scopes = [
         f"struct({i} AS measure, {_scope(m, 'assessment_title')} AS scope)"

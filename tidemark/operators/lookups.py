@@ -7,9 +7,16 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import small_side, stage
+
 SESSION_ORDER = ("timestamp", "game_session")
 
 
+def _beside(table: DataFrame) -> DataFrame:
+    """A lookup table computed once, and broadcast if its counted size allows."""
+    return small_side(stage(table, "lookup"))
+
+
 def common_group_by_title(labels: DataFrame) -> DataFrame:
     """The most frequent accuracy group of each title; the smaller one on a tie."""
     return (
@@ -33,12 +40,12 @@ def first_by_title(
 
 def lookup(df: DataFrame, table: DataFrame, key: str = "title") -> DataFrame:
     """Add a lookup table's columns; an unknown key gives nulls."""
-    return df.join(table, key, "left")
+    return df.join(_beside(table), key, "left")
 
 
 def lookup_strict(df: DataFrame, table: DataFrame, key: str = "title") -> DataFrame:
     """Add a lookup table's columns; an unknown key is an error."""
-    found = df.join(table.withColumn("found", F.lit(True)), key, "left")
+    found = df.join(_beside(table).withColumn("found", F.lit(True)), key, "left")
     message = F.concat(F.lit(f"unknown {key}: "), F.coalesce(F.col(key), F.lit("null")))
     checked = {
         c: F.when(F.col("found").isNull(), F.raise_error(message).cast(table.schema[c].dataType))

@@ -170,3 +170,18 @@ def tune(
     placed = stage(with_nested_folds(train, folds), "nested")
     trials = [(p, nested_score(placed, fit_for(target, p, rounds), folds)) for p in points]
     return trial_table(train.sparkSession, trials)
+
+
+def tune_group_model(train: DataFrame, points: Sequence[Settings], trees: int = 100) -> DataFrame:
+    """Every point's mean kappa over device folds; a point's n_splits is the number of folds."""
+    trials = []
+    for point in points:
+        folds = int(point["n_splits"])
+        placed = stage(with_fold(train, group_folds(train, folds)), "placed")
+        scores = []
+        for fold in range(folds):
+            rest, held = split(placed, fold)
+            model = mo.group_model("accuracy_group", point, trees).fit(rest)
+            scores.append(mo.KappaEvaluator("accuracy_group").evaluate(model.transform(held)))
+        trials.append((point, scores))
+    return trial_table(train.sparkSession, trials)
