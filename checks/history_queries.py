@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import telemetry as t
-from checks.event_queries import counts_sql, fold_sql, gaps_sql, props_sql
+from checks.event_queries import ONE_HOT_GROUPS, counts_sql, fold_sql, gaps_sql, props_sql
 from checks.registry import query
 from tidemark.fixed import EVENT_PROPS
 from tidemark.functions.naming import code_column, id_column, prop_columns, with_stat
@@ -15,7 +15,7 @@ from tidemark.operators import history as h
 from tidemark.operators import lookups as lo
 from tidemark.operators import sessions as se
 from tidemark.plans import features as fe
-from tidemark.session import stage
+from tidemark.session import small_side, stage
 
 # --- tables -----------------------------------------------------------------
 
@@ -446,3 +446,45 @@ def features_g1_test(spark, sf_dir):
     test = t.test_events(spark, sf_dir)
     labels = t.labels(spark, sf_dir)
     return fe.test_features_from_events(test, labels, t.CODES, t.VOCABULARY, PROPS)
+
+
+# --- prepared tables ----------------------------------------------------------------
+
+
+@query(
+    "prep_g1",
+    f"""WITH {t.EV}, {LABELS} SELECT event_id, game_session, timestamp, installation_id, event_count,
+    event_code, game_time, title, type, world, right_text AS is_correct_attempt,
+    wrong_text AS is_uncorrect_attempt FROM kept
+    WHERE event_code IN (SELECT event_code FROM kept INTERSECT SELECT event_code FROM te)""",
+)
+def prep_g1(spark, sf_dir):
+    """Flagged events of labelled devices, with the codes that training and test share."""
+    events = kept_events(spark, sf_dir, t.labels(spark, sf_dir))
+    codes = ev.common_codes(events, t.test_events(spark, sf_dir))
+    flagged = ev.flag_attempts(events, "text").drop("event_data")
+    return flagged.join(small_side(codes), "event_code", "left_semi")
+
+
+@query(
+    "sessions_g2b",
+    f"""WITH {t.EV}, {LABELS}, {sessions_sql('kept', 's')}
+    SELECT * EXCLUDE (grp, start, accuracy_rate, game_time_mean_diff, game_time_std_diff),
+    {ONE_HOT_GROUPS}, round(accuracy_rate, 6) AS accuracy_rate,
+    round(game_time_mean_diff, 6) AS game_time_mean_diff,
+    round(game_time_std_diff, 6) AS game_time_std_diff FROM s""",
+)
+def sessions_g2b(spark, sf_dir):
+    events = kept_events(spark, sf_dir, t.labels(spark, sf_dir))
+    return se.sessions_with_ids(events, t.CODES, t.COUNTED)
+
+
+@query(
+    "sessions_g2a",
+    f"""WITH {t.EV}, {LABELS}, {fold_sql('kept', ', greatest(0, max(game_time)) AS game_time'
+    + CODE_COUNTS + props_sql())}
+    SELECT * EXCLUDE (grp) REPLACE (round(accuracy_rate, 6) AS accuracy_rate), {ONE_HOT_GROUPS} FROM s""",
+)
+def sessions_g2a(spark, sf_dir):
+    events = kept_events(spark, sf_dir, t.labels(spark, sf_dir))
+    return se.sessions_with_props(events, t.CODES)

@@ -79,6 +79,4 @@ def test_malformed_spec_is_an_error(spark):
 def test_staged_tables_go_to_the_named_folder(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert scratch_dir(spark) == named
-    assert stage(spark.range(4), "four").inputFiles()[0].removeprefix("file:").startswith(
-        f"{named}/four-"
-    )
+    assert f"{named}/four-" in stage(spark.range(4), "four").inputFiles()[0]
