@@ -120,7 +120,8 @@ def cast_events(spark, sf_dir):
 @query(
     "time_features",
     f"""WITH {t.EV} SELECT game_session, event_id, event_count, sec AS timestamp,
-    hour(fl.timestamp) AS assessment_hour, isodow(fl.timestamp) - 1 AS assessment_dayofweek FROM fl""",
+    CAST(hour(fl.timestamp) AS INTEGER) AS assessment_hour,
+    CAST(isodow(fl.timestamp) - 1 AS INTEGER) AS assessment_dayofweek FROM fl""",
 )
 def time_features(spark, sf_dir):
     picked = t.telemetry(spark, sf_dir).select("game_session", "event_id", "event_count", "timestamp")

@@ -62,7 +62,8 @@ start_t AS (
 tg AS (
     SELECT installation_id, game_session AS assessment_game_session, title AS assessment_title,
         world AS assessment_world, assessment_most_common_title_accuracy_group,
-        hour(ts) AS assessment_hour, isodow(ts) - 1 AS assessment_dayofweek,
+        CAST(hour(ts) AS INTEGER) AS assessment_hour,
+        CAST(isodow(ts) - 1 AS INTEGER) AS assessment_dayofweek,
         CAST(floor(epoch(ts)) AS BIGINT) AS sec
     FROM labels_t JOIN world_t USING (title) LEFT JOIN mode_t USING (title)
     LEFT JOIN start_t USING (installation_id, game_session))"""
@@ -71,7 +72,8 @@ tg AS (
 TEST_TARGETS = """tg AS (
     SELECT installation_id, game_session AS assessment_game_session, title AS assessment_title,
         world AS assessment_world, assessment_most_common_title_accuracy_group,
-        hour(ts) AS assessment_hour, isodow(ts) - 1 AS assessment_dayofweek,
+        CAST(hour(ts) AS INTEGER) AS assessment_hour,
+        CAST(isodow(ts) - 1 AS INTEGER) AS assessment_dayofweek,
         CAST(floor(epoch(ts)) AS BIGINT) AS sec
     FROM (SELECT installation_id, max_by(game_session, (timestamp, event_count)) AS game_session,
         max_by(title, (timestamp, event_count)) AS title,
@@ -135,20 +137,21 @@ def kept_events(spark, sf_dir, labels):
     return ev.keep_devices(t.train_events(spark, sf_dir), labels)
 
 
-def session_tables(spark, sf_dir):
-    """Training sessions and targets."""
+def session_tables(spark, sf_dir, counted=True):
+    """Training sessions, with the counts of codes and ids if wanted, and targets."""
     labels = t.labels(spark, sf_dir)
+    columns = (t.CODES, t.COUNTED) if counted else ((), ())
     sessions = stage(
-        se.sessions_with_ids(kept_events(spark, sf_dir, labels), t.CODES, t.COUNTED), "sessions"
+        se.sessions_with_ids(kept_events(spark, sf_dir, labels), *columns), "sessions"
     )
     return sessions, fe.train_targets(labels, sessions, lo.session_starts(sessions)), labels
 
 
-def session_history(spark, sf_dir, measures, max_group=h.MAX_GROUP):
-    sessions, targets, _ = session_tables(spark, sf_dir)
+def session_history(spark, sf_dir, measures, limits=h.Limits(), counted=False):
+    sessions, targets, _ = session_tables(spark, sf_dir, counted)
     past = sessions.withColumn(h.POS, epoch_seconds(F.col("timestamp")))
     asked = stage(targets.withColumnRenamed("sec", h.POS), "targets")
-    return h.history_features(past, asked, measures, max_group)
+    return h.history_features(past, asked, measures, limits)
 
 
 def picked(df, measures, *more):
@@ -237,7 +240,7 @@ def history_stats(spark, sf_dir):
 @query("history_count_stats", grouped(SESSION_HISTORY, stats_sql(COUNTS)))
 def history_count_stats(spark, sf_dir):
     measures = h.of_columns(COUNTS)
-    return picked(session_history(spark, sf_dir, measures), measures)
+    return picked(session_history(spark, sf_dir, measures, counted=True), measures)
 
 
 @query(
@@ -271,7 +274,7 @@ def history_ttw_counts(spark, sf_dir):
 def history_window(spark, sf_dir):
     """The same running statistics, with every device sent through the any-size path."""
     measures = h.of_columns(["event_count"], ("mean", "std", "max", "median"))
-    return picked(session_history(spark, sf_dir, measures, max_group=0), measures)
+    return picked(session_history(spark, sf_dir, measures, limits=h.ANY_SIZE), measures)
 
 
 @query(
@@ -287,7 +290,7 @@ def history_stats_any_size(spark, sf_dir):
         *h.of_columns([*fe.SESSION_METRICS, "accuracy_rate"]),
         *h.of_columns(fe.ATTEMPT_METRICS, over=h.SAME_TITLE, prefix=fe.PREVIOUS),
     ]
-    return picked(session_history(spark, sf_dir, measures, max_group=0), measures)
+    return picked(session_history(spark, sf_dir, measures, limits=h.ANY_SIZE), measures)
 
 
 def _by_title_sql() -> list[str]:
@@ -302,7 +305,7 @@ def _by_title_sql() -> list[str]:
 
 @query("pivot_time_by_title", grouped(SESSION_HISTORY, _by_title_sql()))
 def pivot_time_by_title(spark, sf_dir):
-    sessions, targets, _ = session_tables(spark, sf_dir)
+    sessions, targets, _ = session_tables(spark, sf_dir, counted=False)
     return fe.time_by_value(sessions, targets, "title", t.VOCABULARY["title"])
 
 
@@ -397,10 +400,10 @@ G1_TARGET_COLUMNS = """assessment_title, assessment_world,
     coalesce(assessment_dayofweek, 0) AS assessment_dayofweek, sec AS assessment_start_timestamp,"""
 
 
-def event_features(spark, sf_dir, max_group=h.MAX_GROUP):
+def event_features(spark, sf_dir, limits=h.Limits()):
     labels = t.labels(spark, sf_dir)
     events = kept_events(spark, sf_dir, labels)
-    return fe.features_from_events(events, labels, t.CODES, t.VOCABULARY, PROPS, max_group)
+    return fe.features_from_events(events, labels, t.CODES, t.VOCABULARY, PROPS, limits)
 
 
 def g1_columns(df, wanted):

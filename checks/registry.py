@@ -15,16 +15,19 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Floating-point columns rounded, so that the order of additions does not show."""
-    return df.selectExpr(
-        *[
-            f"round({quoted(name)}, {digits}) AS {quoted(name)}"
-            if kind in ("double", "float")
-            else quoted(name)
-            for name, kind in df.dtypes
-        ]
-    )
+def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Floating-point columns rounded, so that the order of additions does not show, and
+    moments without a time zone, as the tables have them."""
+
+    def shown(name: str, kind: str) -> str:
+        column = quoted(name)
+        if kind in ("double", "float"):
+            return f"round({column}, {digits}) AS {column}"
+        if kind == "timestamp":
+            return f"CAST({column} AS TIMESTAMP_NTZ) AS {column}"
+        return column
+
+    return df.selectExpr(*[shown(name, kind) for name, kind in df.dtypes])
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -33,7 +36,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"query {name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return rounded(build(pin(spark), sf_dir))
+            return comparable(build(pin(spark), sf_dir))
 
         QUERIES[name] = run
         if sql is not None:

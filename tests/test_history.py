@@ -11,23 +11,23 @@ from tidemark.operators.sessions import sessions_with_ids
 from tidemark.plans import features as fe
 from tidemark.session import stage
 
-EVERY_SIZE = pytest.mark.parametrize("max_group", [h.MAX_GROUP, 0], ids=["small", "any size"])
+EVERY_SIZE = pytest.mark.parametrize("limits", [h.Limits(), h.ANY_SIZE], ids=["small", "any size"])
 
 
 def by_target(df):
     return {(r["installation_id"], r["assessment_game_session"]): r.asDict() for r in df.collect()}
 
 
-def session_features(spark, max_group=h.MAX_GROUP, label_rows=None, rows=None):
+def session_features(spark, limits=h.Limits(), label_rows=None, rows=None):
     sessions = stage(sessions_with_ids(events(spark, rows), CODES, []), "sessions")
     return by_target(
-        fe.features_from_sessions(sessions, labels(spark, label_rows), VOCABULARY, max_group)
+        fe.features_from_sessions(sessions, labels(spark, label_rows), VOCABULARY, limits)
     )
 
 
 @EVERY_SIZE
-def test_session_history_goldens(spark, max_group):
-    got = session_features(spark, max_group)
+def test_session_history_goldens(spark, limits):
+    got = session_features(spark, limits)
     s3 = got[("d1", "s3")]
     stats = [s3[f"game_time_{s}"] for s in h.STATS]
     assert stats == pytest.approx([215.667568, 247.5, 247.5, 400], abs=1e-6)
@@ -48,8 +48,8 @@ def test_session_history_goldens(spark, max_group):
 
 
 @EVERY_SIZE
-def test_event_history_goldens(spark, max_group):
-    df = fe.features_from_events(events(spark), labels(spark), CODES, VOCABULARY, {}, max_group)
+def test_event_history_goldens(spark, limits):
+    df = fe.features_from_events(events(spark), labels(spark), CODES, VOCABULARY, {}, limits)
     got = by_target(df)
     s3 = got[("d1", "s3")]
     assert s3["game_time_sum"] == 495
@@ -70,12 +70,12 @@ CUT = [
 
 
 @EVERY_SIZE
-def test_whole_session_or_cut_at_the_event(spark, max_group):
+def test_whole_session_or_cut_at_the_event(spark, limits):
     label = [("x2", "d2", MUSHROOM, 0, 0, 0)]
-    whole = session_features(spark, max_group, label, CUT)[("d2", "x2")]
+    whole = session_features(spark, limits, label, CUT)[("d2", "x2")]
     assert (whole["game_time_max"], whole["event_count_max"]) == (300, 2)
     df = fe.features_from_events(
-        events(spark, CUT), labels(spark, label), CODES, VOCABULARY, {}, max_group
+        events(spark, CUT), labels(spark, label), CODES, VOCABULARY, {}, limits
     )
     cut = by_target(df)[("d2", "x2")]
     assert (cut["game_time_max"], cut["event_count_max"], cut["event_count_sum"]) == (0, 1, 1)
@@ -156,8 +156,15 @@ def close(a, b):
     )
 
 
-@pytest.mark.parametrize("max_group", [1000, 50, 0], ids=["windows", "both", "prefix"])
-def test_every_path_agrees_with_brute_force(spark, max_group):
+ARRAYS = h.Limits(0, 10_000, 1 << 40)
+
+
+@pytest.mark.parametrize(
+    "limits",
+    [h.Limits(10_000), ARRAYS, h.ANY_SIZE, h.Limits(50, 60, 5000)],
+    ids=["windows", "arrays", "prefix", "mixed"],
+)
+def test_every_path_agrees_with_brute_force(spark, limits):
     sessions, targets = made_sessions(7)
     s = spark.createDataFrame(
         sessions,
@@ -169,7 +176,7 @@ def test_every_path_agrees_with_brute_force(spark, max_group):
         "installation_id string, assessment_game_session string, start bigint,"
         " assessment_title string",
     )
-    got = by_target(h.history_features(s, t, measures(), max_group, chunk=16))
+    got = by_target(h.history_features(s, t, measures(), limits, chunk=16))
     assert len(got) == len(targets)
     for device, name, start, title in targets:
         past = [
@@ -190,8 +197,8 @@ def test_every_path_agrees_with_brute_force(spark, max_group):
                 assert close(row[f"{column}_{over}_{stat}"], expected(seen, stat)), (name, over, stat)
 
 
-@pytest.mark.parametrize("max_group", [1000, 0], ids=["arrays", "prefix"])
-def test_running_sessions_agree_with_brute_force(spark, max_group):
+@pytest.mark.parametrize("limits", [h.Limits(), h.ANY_SIZE], ids=["arrays", "prefix"])
+def test_running_sessions_agree_with_brute_force(spark, limits):
     draw = random.Random(3)
     rows, label_rows = [], []
     for n in range(150):
@@ -208,7 +215,7 @@ def test_running_sessions_agree_with_brute_force(spark, max_group):
     for session in sorted(first):
         label_rows.append((session, session[:2], [BIRD, MUSHROOM, "Game A"][int(session[-1]) % 3], 0, 0, 0))
     df = fe.features_from_events(
-        events(spark, rows), labels(spark, label_rows), CODES, VOCABULARY, {}, max_group
+        events(spark, rows), labels(spark, label_rows), CODES, VOCABULARY, {}, limits
     )
     got = by_target(df)
     for session, device, title, *_ in label_rows:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.fixed import COUNTED_EVENT_IDS, EVENT_PROPS
 from tidemark.functions.attempts import FLAGS
 from tidemark.functions.naming import code_column, id_column, literal, prop_column, quoted
-from tidemark.session import small_side
+from tidemark.session import BROADCAST_ROWS, counted_up_to
 
 
 def keep_devices(
@@ -24,9 +24,11 @@ def keep_devices(
     if devices is None:
         return events
     ids = devices.select(key).filter(F.col(key).isNotNull()).distinct()
-    if ids.isEmpty():
+    found = counted_up_to(ids, BROADCAST_ROWS)
+    if found == 0:
         return events
-    return events.join(small_side(ids), key, "left_semi")
+    ids = F.broadcast(ids) if found <= BROADCAST_ROWS else ids
+    return events.join(ids, key, "left_semi")
 
 
 def flag_attempts(events: DataFrame, by: str = "json") -> DataFrame:

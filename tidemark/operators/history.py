@@ -1,9 +1,9 @@
 """Features of a target moment from everything earlier on the same device.
 
-No (target, earlier session) pairs are made. Devices with few rows are answered by running
-windows, one exchange in all; where some of their sessions were still running when a target
-started, by one array per device. Devices with more than `max_group` rows go through
-`prefix`, where no group is ever gathered. All give the same columns, exactly.
+No (target, earlier session) pairs are made. A device with few rows is answered by running
+windows, one exchange in all. A larger one with few targets, or one where a session was still
+running when a target started, is answered by one array of its sessions. Any other goes
+through `prefix`, where no group is ever gathered. All give the same columns, exactly.
 """
 
 from __future__ import annotations
@@ -29,8 +29,22 @@ STATS_AND_SUM = ("sum", "mean", "max", "std", "median")
 
 ALL, ASSESSMENTS, SAME_TITLE = "all", "assessments", "same title"
 
-# Largest device answered by windows; a running median re-sorts the values it holds.
-MAX_GROUP = 4096
+
+@dataclass(frozen=True)
+class Limits:
+    """Up to where a device is answered in one task; beyond, it is spread over tasks.
+
+    window_rows: rows of a device answered by windows, where a running median re-sorts the
+    values at every row. array_sessions: sessions held in one array. array_work: sessions
+    times targets, what the targets of a device read in all.
+    """
+
+    window_rows: int = 512
+    array_sessions: int = 4096
+    array_work: int = 1 << 18
+
+
+ANY_SIZE = Limits(0, 0, 0)
 
 
 @dataclass(frozen=True)
@@ -75,7 +89,7 @@ def history_features(
     sessions: DataFrame,
     targets: DataFrame,
     measures: Sequence[Measure],
-    max_group: int = MAX_GROUP,
+    limits: Limits = Limits(),
     chunk: int = CHUNK,
 ) -> DataFrame:
     """`targets` with `n_history` and each measure's statistics over earlier sessions.
@@ -93,12 +107,19 @@ def history_features(
 
     changed = F.col("before").isNotNull() if replaces else F.lit(False)
     devices = (
-        sessions.select(DEVICE, changed.alias("changed"))
-        .unionByName(targets.select(DEVICE, F.lit(False).alias("changed")))
+        sessions.select(DEVICE, F.lit(0).alias("target"), changed.alias("changed"))
+        .unionByName(targets.select(DEVICE, F.lit(1).alias("target"), F.lit(False).alias("changed")))
         .groupBy(DEVICE)
-        .agg(F.count("*").alias("n"), F.max("changed").alias("changed"))
+        .agg(
+            F.count_if(F.col("target") == 0).alias("sessions"),
+            F.count_if(F.col("target") == 1).alias("targets"),
+            F.max("changed").alias("changed"),
+        )
     )
-    path = F.when(F.col("n") > max_group, "prefix").when(F.col("changed"), "arrays")
+    past, asking = F.col("sessions"), F.col("targets")
+    in_window = ~F.col("changed") & (past + asking <= limits.window_rows)
+    in_array = (past <= limits.array_sessions) & (past * asking <= limits.array_work)
+    path = F.when(in_window, None).when(in_array, "arrays").otherwise("prefix")
     routes = stage(
         devices.select(DEVICE, path.alias("path")).filter(F.col("path").isNotNull()), "routes"
     )
@@ -119,7 +140,7 @@ def history_features(
     return reduce(DataFrame.unionByName, results)
 
 
-# --- devices with a bounded number of rows ------------------------------------
+# --- devices within the limits ------------------------------------
 
 
 AGGREGATES = {"n": "count", "mean": "avg", "std": "stddev_samp", "max": "max", "sum": "sum"}
@@ -187,8 +208,10 @@ def _array_statistic(stat: str, xs: str) -> str:
 def _by_arrays(
     sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure]
 ) -> DataFrame:
-    """Each target reads the one array of its device, which holds at most MAX_GROUP states."""
-    next_state = F.lead(POS).over(W.partitionBy(DEVICE, "game_session").orderBy(POS))
+    """Each target reads the one array of its device, whose length the limits bound."""
+    next_state = F.lit(None).cast("bigint")
+    if "before" in sessions.columns:
+        next_state = F.lead(POS).over(W.partitionBy(DEVICE, "game_session").orderBy(POS))
     values = [f"CAST({m.among()} AS DOUBLE) AS m{i}" for i, m in enumerate(measures)]
     states = sessions.withColumn("until", next_state).selectExpr(
         DEVICE, f"struct({POS}, until, title, {', '.join(values)}) AS state"

@@ -91,7 +91,7 @@ def session_features(
     sessions: DataFrame,
     targets: DataFrame,
     vocabulary: dict[str, Sequence[str]],
-    max_group: int = h.MAX_GROUP,
+    limits: h.Limits = h.Limits(),
 ) -> DataFrame:
     """Features over whole sessions that began before the target; missing ones stay null.
 
@@ -101,7 +101,7 @@ def session_features(
     past = sessions.withColumn(h.POS, epoch_seconds(F.col("timestamp")))
     asked = stage(targets.withColumnRenamed("sec", h.POS), "targets")
     measures = session_measures(sessions.columns, vocabulary)
-    features = h.history_features(past, asked, measures, max_group)
+    features = h.history_features(past, asked, measures, limits)
     return features.withColumns(_placeholders("ttw")).drop("n_history", h.POS)
 
 
@@ -150,7 +150,7 @@ def event_features(
     codes: Sequence[object],
     vocabulary: dict[str, Sequence[str]],
     props: dict[str, Sequence[str]],
-    max_group: int = h.MAX_GROUP,
+    limits: h.Limits = h.Limits(),
 ) -> DataFrame:
     """Features over events before the target, summed to sessions as far as they had come.
 
@@ -161,7 +161,7 @@ def event_features(
     states, asked = session_states(events, sessions, targets, codes, props)
     states, asked = stage(_with_scores(states), "states"), stage(asked, "asked")
     measures = event_measures(states.columns, vocabulary, prop_columns(props))
-    features = h.history_features(states, asked, measures, max_group)
+    features = h.history_features(states, asked, measures, limits)
     lonely = (F.col("n_history") == 0).cast("bigint")
     features = features.withColumns(
         {**_placeholders("cnt"), "accuracy_group_0": F.col("accuracy_group_0") + lonely}
@@ -179,12 +179,12 @@ def features_from_sessions(
     train_sessions: DataFrame,
     labels: DataFrame,
     vocabulary: dict[str, Sequence[str]],
-    max_group: int = h.MAX_GROUP,
+    limits: h.Limits = h.Limits(),
 ) -> DataFrame:
     """Training features, session-level history."""
     starts = session_starts(train_sessions)
     targets = train_targets(labels, train_sessions, starts)
-    return session_features(train_sessions, targets, vocabulary, max_group)
+    return session_features(train_sessions, targets, vocabulary, limits)
 
 
 def test_features_from_sessions(
@@ -192,11 +192,11 @@ def test_features_from_sessions(
     test_events: DataFrame,
     labels: DataFrame,
     vocabulary: dict[str, Sequence[str]],
-    max_group: int = h.MAX_GROUP,
+    limits: h.Limits = h.Limits(),
 ) -> DataFrame:
     """Features of the assessments to predict, with the training columns."""
     targets = test_targets(last_per_device(test_events), labels)
-    return session_features(test_sessions, targets, vocabulary, max_group)
+    return session_features(test_sessions, targets, vocabulary, limits)
 
 
 def _flagged(events: DataFrame) -> DataFrame:
@@ -209,14 +209,14 @@ def features_from_events(
     codes: Sequence[object],
     vocabulary: dict[str, Sequence[str]],
     props: dict[str, Sequence[str]],
-    max_group: int = h.MAX_GROUP,
+    limits: h.Limits = h.Limits(),
 ) -> DataFrame:
     """Training features, event-level history."""
     flagged = _flagged(train_events)
     sessions = whole_sessions(flagged, codes, props)
     starts = sessions.select(h.DEVICE, "game_session", "timestamp")
     targets = train_targets(labels, train_events, starts)
-    return event_features(flagged, sessions, targets, codes, vocabulary, props, max_group)
+    return event_features(flagged, sessions, targets, codes, vocabulary, props, limits)
 
 
 def test_features_from_events(
@@ -225,13 +225,13 @@ def test_features_from_events(
     codes: Sequence[object],
     vocabulary: dict[str, Sequence[str]],
     props: dict[str, Sequence[str]],
-    max_group: int = h.MAX_GROUP,
+    limits: h.Limits = h.Limits(),
 ) -> DataFrame:
     """Features of the assessments to predict, event-level history."""
     flagged = _flagged(test_events)
     sessions = whole_sessions(flagged, codes, props)
     targets = test_targets(last_per_device(test_events), labels)
-    return event_features(flagged, sessions, targets, codes, vocabulary, props, max_group)
+    return event_features(flagged, sessions, targets, codes, vocabulary, props, limits)
 
 
 def time_by_value(
@@ -240,7 +240,7 @@ def time_by_value(
     column: str,
     values: Iterable[str],
     stats: Sequence[str] = ("sum", "mean", "max"),
-    max_group: int = h.MAX_GROUP,
+    limits: h.Limits = h.Limits(),
 ) -> DataFrame:
     """Game time and event count of the history, one column per stat, metric and value."""
     past = sessions.withColumn(h.POS, epoch_seconds(F.col("timestamp")))
@@ -252,7 +252,7 @@ def time_by_value(
             measures.append(measure)
             names.update({c: f"{stat}_{measure.name}" for c, stat in measure.columns().items()})
     asked = stage(targets.withColumnRenamed("sec", h.POS), "targets")
-    features = h.history_features(past, asked, measures, max_group)
+    features = h.history_features(past, asked, measures, limits)
     return features.select(
         h.DEVICE,
         h.TARGET,

@@ -65,10 +65,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def counted_up_to(df: DataFrame, rows: int) -> int:
+    """The number of rows, counted no further than one beyond `rows`."""
+    return df.limit(rows + 1).count()
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a join side after counting it; leave a larger one to the shuffle join."""
-    return F.broadcast(df) if fits(df, rows) else df
+    return F.broadcast(df) if counted_up_to(df, rows) <= rows else df
