@@ -25,6 +25,7 @@ DEVICE = "installation_id"
 TARGET = "assessment_game_session"
 POS = "start"
 STATS = ("std", "mean", "median", "max")
+ORDERED = {"median", "max"}
 STATS_AND_SUM = ("sum", "mean", "max", "std", "median")
 
 ALL, ASSESSMENTS, SAME_TITLE = "all", "assessments", "same title"
@@ -191,7 +192,10 @@ def _by_windows(
 
 
 def _array_statistic(stat: str, xs: str) -> str:
-    """A statistic of a sorted array of doubles, in SQL; null where it has no value."""
+    """A statistic of an array of doubles, in SQL; null where it has no value.
+
+    The array is sorted where the statistic needs an order.
+    """
     n, total = f"size({xs})", f"aggregate({xs}, 0D, (s, v) -> s + v)"
     mean = f"({total} / nullif({n}, 0))"
     squares = f"aggregate({xs}, 0D, (s, v) -> s + (v - mean_{xs}) * (v - mean_{xs}))"
@@ -227,7 +231,8 @@ def _by_arrays(
         if m.over == SAME_TITLE:
             value = f"CASE WHEN s.title = assessment_title THEN {value} END"
         known = f"filter(transform(seen, s -> {value}), v -> v IS NOT NULL)"
-        arrays.append(f"sort_array(coalesce({known}, CAST(array() AS ARRAY<DOUBLE>))) AS m{i}")
+        known = f"coalesce({known}, CAST(array() AS ARRAY<DOUBLE>))"
+        arrays.append(f"sort_array({known}) AS m{i}" if ORDERED & set(m.stats) else f"{known} AS m{i}")
     kept = [quoted(c) for c in targets.columns]
     spread = {i for i, m in enumerate(measures) if "std" in m.stats}
     means = [f"{_array_statistic('mean', f'm{i}')} AS mean_m{i}" for i in sorted(spread)]
@@ -272,8 +277,8 @@ def _by_prefix(
         items = items.unionByName(_long(replaced, measures, -1))
 
     items = stage(items, "items")
-    ordered = {"std", "median", "max"}
-    needs_rank = [i for i, m in enumerate(measures) if ordered & set(m.stats)]
+    # A deviation needs the extremes, which tell a constant from rounding noise.
+    needs_rank = [i for i, m in enumerate(measures) if {"std", *ORDERED} & set(m.stats)]
     sortable = items.filter(F.col("measure").isin(needs_rank))
     ranks = stage(ranked_values(sortable, ["measure", "value"]), "codes")
     coded = stage(sortable.join(small_side(ranks), ["measure", "value"]), "coded")
