@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,6 @@ SETTINGS = {
 # A side with at most this many narrow rows is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
 
-_own_scratch: dict[str, str] = {}
-
 
 def build_session(
     app: str = "tidemark", master: str | None = None, settings: dict[str, str] | None = None
@@ -41,28 +38,39 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only on a local master."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = context.applicationId
-    if app not in _own_scratch:
-        _own_scratch[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _own_scratch[app]
+    """The shared folder the cluster names; without one, a folder in the warehouse, which is
+    shared too."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the scratch folder, which goes when the application ends."""
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    files, at = _files(spark, path)
+    files.deleteOnExit(at)
+    return path
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table once and read it back, so that it has no lineage."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Drop staged tables that nothing will read again."""
+    for df in staged:
+        files, at = _files(df.sparkSession, df._staged_at)
+        files.delete(at, True)
 
 
 def counted_up_to(df: DataFrame, rows: int) -> int:
