@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_sharding")
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(documents(spark, sf_dir), shards=16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op10_licenses")
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = "filter(detections, d -> d.base)"
