@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.substrings import cut_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,40 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op8_substrings",
+    """
+    WITH words AS (
+        SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+    runs AS (
+        SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS run
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50)),
+    cut AS (
+        SELECT DISTINCT doc_id, i FROM (
+            SELECT doc_id, i, min(doc_id) OVER (PARTITION BY run) AS first_doc FROM runs)
+        WHERE doc_id > first_doc),
+    places AS (
+        SELECT doc_id, word, p, max(i) OVER (PARTITION BY doc_id ORDER BY p) AS last_cut
+        FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words) AS each
+        LEFT JOIN (SELECT doc_id AS cut_doc, i FROM cut) AS c ON doc_id = cut_doc AND p = i),
+    kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n_kept
+        FROM places WHERE last_cut IS NULL OR p - last_cut >= 50 GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(kept, '')) AS kept_sha256
+    FROM words LEFT JOIN kept USING (doc_id)
+    """,
+)
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(documents(spark, sf_dir), window=50).select(
+        "doc_id",
+        "cut.n_words",
+        "cut.n_removed",
+        F.sha2(F.col("cut.kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 @query("op9_sharding")
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), shards=16).select(
