@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import cut_repeats
+from tidemark.llm.toxicity import fit, held_out, score
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +45,32 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), window=2048, end_id=1)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query(
     "op8_substrings",
     """
