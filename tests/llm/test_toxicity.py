@@ -31,7 +31,7 @@ def test_held_out_accuracy(spark, sf, least):
     scores, truth, said = (np.array(x) for x in zip(*told, strict=True))
     print(sf, "auc", auc(scores, truth), "said", said.sum(), "true", truth.sum(), "both", (said & truth).sum())
     assert auc(scores, truth) >= least
-    assert (said & truth).sum() >= 0.95 * said.sum()
+    assert (said & truth).sum() >= 0.9 * said.sum()
 
 
 class Row:

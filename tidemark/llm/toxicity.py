@@ -19,6 +19,7 @@ POSITIVE, UNLABELLED = 4096, 8192
 #: Words and stems that it may look at, at most.
 FEATURES = 4096
 _STEMS = (4, 5, 6)
+_GAIN = 4.0
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE = 1 << 18
 
@@ -30,9 +31,20 @@ class Model:
     bias: float
 
 
-def _features(word: str) -> list[str]:
-    """A word and its stems; a stem ends in a mark that no word has."""
-    return [word, *(f"{word[:n]}*" for n in _STEMS if len(word) > n)]
+def _stems(word: str) -> list[str]:
+    """The beginnings of a word, with a mark that no word has."""
+    return [f"{word[:n]}*" for n in _STEMS if len(word) > n]
+
+
+def _length(words: set[str]) -> str:
+    return f"#{len(words).bit_length()}"
+
+
+def _features(words: set[str]) -> set[str]:
+    """The words, their stems, stems of several words, and how many words there are, by powers of
+    two: a long text has many of the words that toxic ones have, without being toxic."""
+    stems = Counter(s for w in words for s in _stems(w))
+    return {*words, *stems, *(f"{s}*" for s, n in stems.items() if n > 1), _length(words)}
 
 
 def _words(text: str | None) -> set[str]:
@@ -93,7 +105,7 @@ def _choose(sample: DataFrame, features: int) -> tuple[str, ...]:
     """The features that confirmed texts have far more often than any texts."""
 
     def count(batch: dict[str, list]) -> dict[str, list]:
-        found = Counter(f for t in batch["text"] for f in {f for w in _words(t) for f in _features(w)})
+        found = Counter(f for t in batch["text"] for f in _features(_words(t)))
         return {"name": list(found), "n": list(found.values())}
 
     def counted(texts: DataFrame, name: str) -> DataFrame:
@@ -105,16 +117,18 @@ def _choose(sample: DataFrame, features: int) -> tuple[str, ...]:
     if not size.p or not size.u:
         return ()
     rate_p, rate_u = F.col("n_p") / size.p, (F.coalesce("n_u", F.lit(0)) + 0.5) / size.u
-    gain = (rate_p - rate_u) / F.sqrt(rate_u)
+    # in standard deviations of what confirmed texts would have, were they like any texts
+    gain = (rate_p - rate_u) / F.sqrt(rate_u / size.p)
     chosen = (
         in_p.where("n_p >= 3")
         .join(in_u, "name", "left")
         .withColumn("gain", gain)
-        .where("gain > 0")
+        .where(F.col("gain") >= _GAIN)
         .orderBy(F.desc("gain"), "name")
         .limit(features)
     )
-    return tuple(sorted(r.name for r in chosen.select("name").collect()))
+    names = sorted(r.name for r in chosen.select("name").collect() if not r.name.startswith("#"))
+    return (*names, *(f"#{n}" for n in range(33))) if names else ()
 
 
 def _encode(sample: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -124,7 +138,7 @@ def _encode(sample: DataFrame, names: tuple[str, ...]) -> DataFrame:
     def work(batch: dict[str, list]) -> dict[str, list]:
         found = []
         for text in batch["text"]:
-            found.append(sorted({number[f] for w in _words(text) for f in _features(w) if f in number}))
+            found.append(sorted(number[f] for f in _features(_words(text)) if f in number))
         return {"on": found, "is_p": batch["is_p"], "is_u": batch["is_u"]}
 
     return map_batches(sample, work, "on array<int>, is_p int, is_u boolean").orderBy("is_p", "is_u", "on")
@@ -162,6 +176,7 @@ def _learn(names: tuple[str, ...], rows: list, prior: float, steps: int = 400, r
     u = _Rows([r.on for r in rows if r.is_u], len(names))
     weights, bias = np.zeros(len(names)), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    length = np.array([n.startswith("#") for n in names])
     for step in range(1, steps + 1):
         at_p, at_u = p.scores(weights, bias), u.scores(weights, bias)
         n_p, n_u = len(at_p), len(at_u)
@@ -176,18 +191,36 @@ def _learn(names: tuple[str, ...], rows: list, prior: float, steps: int = 400, r
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         weights, bias = weights - change[:-1], bias - float(change[-1])
+        weights[length] = np.minimum(weights[length], 0)  # length alone is no sign of toxicity
     return Model(names, weights, bias)
 
 
 class _Scorer:
-    """Which chosen features a word has, remembered from word to word."""
+    """What the model looks at in a word, remembered from word to word."""
 
     def __init__(self, model: Model) -> None:
-        self.model = model
-        self.number = {n: i for i, n in enumerate(model.names)}
-        self.of_word: dict[str, tuple[int, ...]] = {}
+        self.bias = model.bias
+        self.weight = dict(zip(model.names, model.weights.tolist(), strict=True))
+        self.of_word: dict[str, tuple[str, ...]] = {}
+
+    def _watched(self, word: str) -> tuple[str, ...]:
+        found = self.of_word.get(word)
+        if found is None:
+            if len(self.of_word) >= _CACHE:
+                self.of_word.clear()
+            stems = [s for s in _stems(word) if s in self.weight or f"{s}*" in self.weight]
+            found = self.of_word[word] = (*([word] if word in self.weight else []), *stems)
+        return found
 
     def score(self, text: str | None) -> float:
+        words = _words(text)
+        seen = Counter(f for word in words for f in self._watched(word))
+        on = {*seen, *(f"{f}*" for f, n in seen.items() if n > 1), _length(words)}
+        total = self.bias + sum(self.weight.get(f, 0.0) for f in sorted(on))
+        return float(_sigmoid(np.float64(total)))
+
+
+def score(self, text: str | None) -> float:
         on: set[int] = set()
         for word in _words(text):
             found = self.of_word.get(word)
