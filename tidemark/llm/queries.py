@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import decode, encode
 from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.merkle import fingerprint, likeness, with_next
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import near_duplicates
@@ -71,6 +72,34 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_merkle")
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, taken = "substring(text, 1, n_chars - moved)", "substring(next.text, 1, moved)"
+    edited = (
+        with_next(documents(spark, sf_dir))
+        .withColumn("n_chars", F.length("text").cast("long"))
+        .withColumn("moved", F.expr("CAST(n_chars DIV 4 AS INT)"))
+        .withColumn("edited", F.expr(f"concat({kept}, {taken})".replace("n_chars - moved", "CAST(n_chars AS INT) - moved")))
+    )
+    prints = edited.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        fingerprint(F.col("edited")).alias("edited_fingerprint"),
+        F.col("next.fingerprint").alias("next_fingerprint"),
+    )
+    return prints.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
