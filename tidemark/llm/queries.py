@@ -15,6 +15,7 @@ from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import cut_repeats
+from tidemark.llm.topk import top_k
 from tidemark.llm.toxicity import fit, held_out, score
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +101,26 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op6_topk",
+    """
+    WITH q AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM q AS a JOIN q AS b ON a.vec_id <> b.vec_id AND a.vec_id % 50 = 0),
+    ranked AS (
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+            vec_id, score FROM scored)
+    SELECT * FROM ranked WHERE rank <= 5
+    """,
+)
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
