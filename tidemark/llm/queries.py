@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.backoff import scores
 from tidemark.llm.bpe import decode, encode
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.merkle import fingerprint, likeness, with_next
@@ -38,6 +39,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_backoff")
+def op1_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(documents(spark, sf_dir), order=3, backoff=0.4, least=2).withColumn(
+        "mean_score", F.expr("score / nullif(n_words, 0)")
+    )
+
+
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir), shingle=3, distance=3)
