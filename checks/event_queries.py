@@ -336,6 +336,25 @@ def last_per_device(spark, sf_dir):
     return ev.last_per_device(events)
 
 
+_TIED = "CAST(timestamp AS DATE)"
+
+
+@query(
+    "last_per_device_ties",
+    f"""WITH {t.EV}, o AS (SELECT *, row_number() OVER (PARTITION BY installation_id
+        ORDER BY {_TIED} DESC, game_session DESC, event_id DESC, event_count DESC) AS nth FROM te)
+    SELECT installation_id, {_TIED} AS day, game_session, event_id, event_count, title, type, world
+    FROM o WHERE nth = 1""",
+)
+def last_per_device_ties(spark, sf_dir):
+    """Many rows at the last position: all columns still come from one of them."""
+    events = t.test_events(spark, sf_dir).select(
+        "installation_id", F.to_date("timestamp").alias("day"), "game_session", "event_id",
+        "event_count", "title", "type", "world",
+    )
+    return ev.last_per_device(events, ("day", "game_session", "event_id", "event_count"))
+
+
 @query("distinct_codes", f"WITH {t.EV} SELECT DISTINCT event_code FROM ev")
 def distinct_codes(spark, sf_dir):
     return t.telemetry(spark, sf_dir).select("event_code").distinct()

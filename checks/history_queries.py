@@ -15,7 +15,9 @@ from tidemark.operators import history as h
 from tidemark.operators import lookups as lo
 from tidemark.operators import sessions as se
 from tidemark.plans import features as fe
-from tidemark.session import small_side, stage
+from tidemark.session import scratch_path, stage
+from tidemark.sources import readers as rd
+from tidemark.sources import writers as wr
 
 # --- tables -----------------------------------------------------------------
 
@@ -168,13 +170,19 @@ def picked(df, measures, *more):
     num_correct, num_incorrect, accuracy_group FROM labels_t""",
 )
 def scan_labels_projected(spark, sf_dir):
-    return t.labels(spark, sf_dir).select(
-        "installation_id",
-        F.col("game_session").alias("assessment_game_session"),
-        "num_correct",
+    """From a file with more columns than are used, in another order."""
+    labels = t.labels(spark, sf_dir).select(
         "num_incorrect",
+        "installation_id",
+        "title",
+        F.lit(0.5).alias("accuracy"),
         "accuracy_group",
+        "game_session",
+        "num_correct",
     )
+    path = scratch_path(spark, "labels_csv")
+    wr.table(labels, path, "csv")
+    return rd.labels(spark, path)
 
 
 @query("title_mode_group", f"WITH {t.EV}, {LABELS} SELECT * FROM mode_t")
@@ -293,6 +301,30 @@ def history_stats_any_size(spark, sf_dir):
     return picked(session_history(spark, sf_dir, measures, limits=h.ANY_SIZE), measures)
 
 
+# The same times a long way from zero: a deviation must not drown in the mean.
+SHIFTED = [
+    f"""round({SQL_STAT[stat]}(CAST(game_time + 1000000000 AS DOUBLE)), 3) AS shifted_{stat}"""
+    for stat in ("std", "mean", "median")
+]
+
+
+def shifted(spark, sf_dir, limits):
+    measures = [h.Measure("shifted", "game_time + 1000000000", ("std", "mean", "median"))]
+    df = picked(session_history(spark, sf_dir, measures, limits=limits), measures)
+    names = [f"shifted_{stat}" for stat in ("std", "mean", "median")]
+    return df.select(h.DEVICE, h.TARGET, *[F.round(c, 3).alias(c) for c in names])
+
+
+@query("history_shifted", grouped(SESSION_HISTORY, SHIFTED))
+def history_shifted(spark, sf_dir):
+    return shifted(spark, sf_dir, h.Limits())
+
+
+@query("history_shifted_any_size", grouped(SESSION_HISTORY, SHIFTED))
+def history_shifted_any_size(spark, sf_dir):
+    return shifted(spark, sf_dir, h.ANY_SIZE)
+
+
 def _by_title_sql() -> list[str]:
     parts = []
     for metric in ("game_time", "event_count"):
@@ -458,15 +490,12 @@ def features_g1_test(spark, sf_dir):
     "prep_g1",
     f"""WITH {t.EV}, {LABELS} SELECT event_id, game_session, timestamp, installation_id, event_count,
     event_code, game_time, title, type, world, right_text AS is_correct_attempt,
-    wrong_text AS is_uncorrect_attempt FROM kept
-    WHERE event_code IN (SELECT event_code FROM kept INTERSECT SELECT event_code FROM te)""",
+    wrong_text AS is_uncorrect_attempt FROM kept""",
 )
 def prep_g1(spark, sf_dir):
-    """Flagged events of labelled devices, with the codes that training and test share."""
+    """Flagged events of labelled devices."""
     events = kept_events(spark, sf_dir, t.labels(spark, sf_dir))
-    codes = ev.common_codes(events, t.test_events(spark, sf_dir))
-    flagged = ev.flag_attempts(events, "text").drop("event_data")
-    return flagged.join(small_side(codes), "event_code", "left_semi")
+    return ev.flag_attempts(events, "text").drop("event_data")
 
 
 @query(

@@ -24,6 +24,35 @@ def test_doubled_quotes_are_read_as_other_tools_write_them(spark, tmp_path):
     assert row["info"] == "a, b" and json.loads(row["args"]) == [{"name": "x", "info": "y"}]
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "labels.csv"
+    path.write_text(
+        "accuracy,title,installation_id,game_session,accuracy_group,num_incorrect,num_correct\n"
+        '0.5,"a\nb",d,s,2,1,1\n,NA,d2,s2,null,NaN,0\n'
+    )
+    got = rd.csv_table(spark, str(path), schemas.LABELS).collect()
+    assert got == [("s", "d", "a\nb", 1, 1, 2), ("s2", "d2", None, 0, None, None)]
+    assert rd.labels(spark, str(path)).first() == ("d", "s", 1, 1, 2)
+    text = rd.csv_text(spark, str(path), "title string, num_correct int").collect()
+    assert text == [("a\nb", "1"), ("NA", "0")]
+
+
+def test_a_file_that_does_not_fit_is_an_error(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "1.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="no column c, d"):
+        rd.csv_table(spark, str(path), "d int, a int, c int")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        rd.csv_table(spark, str(path), "a int", missing=("1",)).collect()
+        (path / "1.csv").write_text("a,b\nx,2\n")
+        rd.csv_table(spark, str(path), "a int").collect()
+    (path / "1.csv").write_text("a,b\n1,2\n")
+    (path / "2.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="header|Header"):
+        rd.csv_table(spark, str(path), "a int, b int").collect()
+
+
 def test_config_documents(spark, tmp_path):
     path = tmp_path / "props.json"
     path.write_text(json.dumps({"a": ["duration", "misses"], "b": [], "c": ["duration"]}))
@@ -55,6 +84,15 @@ def test_table_if_absent(spark, tmp_path):
     assert spark.read.parquet(path).count() == 9
 
 
+def test_a_failed_write_does_not_count_as_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(Exception, match="USER_RAISED"):
+        wr.table_if_absent(spark.range(3).selectExpr("raise_error('stop') AS id"), path)
+    assert not wr.exists(spark, path)
+    wr.table_if_absent(spark.range(3), path)
+    assert wr.exists(spark, path) and spark.read.parquet(path).count() == 3
+
+
 def specs(spark, args):
     return spark.createDataFrame([("28520915", "i", args), ("off", "i", args)], schemas.SPECS)
 

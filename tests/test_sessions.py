@@ -5,7 +5,9 @@ from tests.fixtures import BIRD, CODES, RIGHT, event, events
 from tidemark.functions import rules
 from tidemark.functions.attempts import flags_from_json, flags_from_text
 from tidemark.operators import events as ev
+from tidemark.operators import lookups as lo
 from tidemark.operators import sessions as se
+from tidemark.session import small_side, table_bytes
 
 
 def by_session(df):
@@ -165,7 +167,7 @@ def test_last_per_device_skips_nulls_per_column(spark):
         [("d", 1, "a", 1), ("d", 2, None, 2), (None, 3, "z", 3)],
         "installation_id string, timestamp int, title string, event_count int",
     )
-    (row,) = ev.last_per_device(df).collect()
+    (row,) = ev.last_per_device(df, ("timestamp", "event_count")).collect()
     assert (row["title"], row["event_count"], row["timestamp"]) == ("a", 2, 2)
 
 
@@ -183,7 +185,25 @@ def test_strict_cast(spark):
         rules.strict_casts(df, {"event_count": "int"}).collect()
 
 
-def test_too_many_values_for_columns(spark):
-    with pytest.raises(ValueError, match="more than 3"):
-        ev.distinct_values(spark.range(10), "id", limit=3)
-    assert ev.distinct_values(spark.range(3), "id") == [0, 1, 2]
+def test_values_for_columns(spark):
+    df = spark.range(2000).selectExpr("id", "nullif(id % 3, 2) AS k")
+    assert ev.distinct_values(df, "id", "k") == {"id": list(range(2000)), "k": [0, 1]}
+
+
+def test_a_tie_does_not_mix_rows(spark):
+    rows = [("d", 1, 1, "s1", "Z", "W1"), ("d", 1, 1, "s2", "A", "W0")]
+    df = spark.createDataFrame(
+        rows, "installation_id string, timestamp int, event_count int, game_session string, title string, world string"
+    )
+    (row,) = ev.last_per_device(df, ("timestamp", "event_count", "game_session")).collect()
+    assert (row["game_session"], row["title"], row["world"]) == ("s2", "A", "W0")
+    rows = [("T", 1, "s", "b", "W1"), ("T", 1, "s", "a", "W2")]
+    df = spark.createDataFrame(rows, "title string, timestamp int, game_session string, type string, world string")
+    assert lo.first_by_title(df, ["type", "world"]).collect() == [("T", "a", "W2")]
+
+
+def test_size_of_a_join_side_is_checked_in_bytes(spark):
+    df = spark.range(1000).selectExpr("id", "repeat('x', 1000) AS text", "array(id) AS many")
+    assert 1_000_000 < table_bytes(df) < 1_200_000
+    plan = lambda most: df.join(small_side(df, most), "id")._jdf.queryExecution().toString()
+    assert "strategy=broadcast" in plan(1 << 30) and "strategy=broadcast" not in plan(1000)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tidemark.fixed import CORRELATION_LIMIT
 from tidemark.functions.naming import quoted
 
-MAX_COLUMNS = 4096
 PAIR_SUMS = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
 
 # A variance this small beside the squares it comes from is rounding noise of a constant.
@@ -56,8 +55,6 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     shifted by their mean first, which keeps the sums accurate. Constants correlate as null.
     """
     columns = list(columns)
-    if len(columns) > MAX_COLUMNS:
-        raise ValueError(f"{len(columns)} columns; prune to {MAX_COLUMNS} first")
     numbers = df.select(
         *[F.col(quoted(c)).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.fixed import COUNTED_EVENT_IDS, EVENT_PROPS
 from tidemark.functions.attempts import FLAGS
 from tidemark.functions.naming import code_column, id_column, literal, prop_column, quoted
-from tidemark.session import BROADCAST_ROWS, counted_up_to
+from tidemark.session import small_side, stage
 
 
 def keep_devices(
@@ -23,12 +23,8 @@ def keep_devices(
     """Events of the listed devices; no list, or an empty one, keeps every event."""
     if devices is None:
         return events
-    ids = devices.select(key).filter(F.col(key).isNotNull()).distinct()
-    found = counted_up_to(ids, BROADCAST_ROWS)
-    if found == 0:
-        return events
-    ids = F.broadcast(ids) if found <= BROADCAST_ROWS else ids
-    return events.join(ids, key, "left_semi")
+    ids = stage(devices.select(key).filter(F.col(key).isNotNull()).distinct(), "devices")
+    return events if ids.isEmpty() else events.join(small_side(ids), key, "left_semi")
 
 
 def flag_attempts(events: DataFrame, by: str = "json") -> DataFrame:
@@ -86,16 +82,21 @@ def session_props(
 
 
 def last_per_device(
-    events: DataFrame, order: Iterable[str] = ("timestamp", "event_count")
+    events: DataFrame,
+    order: Iterable[str] = ("timestamp", "event_count", "game_session", "event_id"),
 ) -> DataFrame:
-    """Each column's last value that is not null, per device."""
+    """Each column's last value that is not null, per device.
+
+    `order` settles which row is the last, so that columns without nulls come from one row; rows
+    that agree on all of it and still differ are settled by the value.
+    """
     key = "installation_id"
-    position = F.struct(*order)
+    position = F.struct(*[F.col(c).alias(f"at{i}") for i, c in enumerate(order)])
     picks = []
     for name in events.columns:
         if name != key:
-            last = F.max(F.when(F.col(name).isNotNull(), F.struct(position, F.col(name))))
-            picks.append(last.getField(name).alias(name))
+            last = F.max(F.when(F.col(name).isNotNull(), F.struct(position, F.col(name).alias("value"))))
+            picks.append(last.getField("value").alias(name))
     return events.filter(F.col(key).isNotNull()).groupBy(key).agg(*picks)
 
 
@@ -103,10 +104,11 @@ def common_codes(left: DataFrame, right: DataFrame, column: str = "event_code")
     return left.select(column).intersect(right.select(column))
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Sorted values of a column that is about to become columns; too many is an error."""
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1)
-    values = sorted(row[0] for row in found.collect())
-    if len(values) > limit:
-        raise ValueError(f"{column} has more than {limit} values; name the wanted ones")
-    return values
+def distinct_values(df: DataFrame, *columns: str) -> dict[str, list]:
+    """Sorted values of columns that are about to become columns, all in one pass.
+
+    They are as many as the table made from them will have columns. Each task sends its own
+    distinct values, one set a column.
+    """
+    found = df.agg(*[F.collect_set(c).alias(c) for c in columns]).first()
+    return {c: sorted(found[c]) for c in columns}

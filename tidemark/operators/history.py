@@ -1,9 +1,9 @@
 """Features of a target moment from everything earlier on the same device.
 
-No (target, earlier session) pairs are made. A device with few rows is answered by running
-windows, one exchange in all. A larger one with few targets, or one where a session was still
-running when a target started, is answered by one array of its sessions. Any other goes
-through `prefix`, where no group is ever gathered. All give the same columns, exactly.
+A device is answered from one array of its sessions, which each of its targets reads, as long as
+what its targets read in all is bounded in bytes. Any other goes through `prefix`, where no group
+is ever gathered. Both take deviations from a mean before they square: the array from the mean of
+what the target sees, `prefix` from that of the device.
 """
 
 from __future__ import annotations
@@ -35,17 +35,15 @@ ALL, ASSESSMENTS, SAME_TITLE = "all", "assessments", "same title"
 class Limits:
     """Up to where a device is answered in one task; beyond, it is spread over tasks.
 
-    window_rows: rows of a device answered by windows, where a running median re-sorts the
-    values at every row. array_sessions: sessions held in one array. array_work: sessions
-    times targets, what the targets of a device read in all.
+    sessions: how many one array holds. values: sessions times targets times measures, the
+    doubles that a device's targets read in all, so 32 MB by default.
     """
 
-    window_rows: int = 512
-    array_sessions: int = 4096
-    array_work: int = 1 << 18
+    sessions: int = 4096
+    values: int = 1 << 22
 
 
-ANY_SIZE = Limits(0, 0, 0)
+ANY_SIZE = Limits(0, 0)
 
 
 @dataclass(frozen=True)
@@ -103,65 +101,37 @@ def history_features(
     assessment_title. A target sees the sessions whose start is strictly smaller.
     """
     measures = [_count(), *measures]
-    replaces = "before" in sessions.columns
-    sessions = sessions.filter(F.col(POS).isNotNull())
-
-    changed = F.col("before").isNotNull() if replaces else F.lit(False)
-    devices = (
-        sessions.select(DEVICE, F.lit(0).alias("target"), changed.alias("changed"))
-        .unionByName(targets.select(DEVICE, F.lit(1).alias("target"), F.lit(False).alias("changed")))
+    sessions = sessions.filter(F.col(POS).isNotNull() & F.col(DEVICE).isNotNull())
+    # A target without a device has no history; it never enters a join, where all would meet.
+    lost, targets = targets.filter(F.col(DEVICE).isNull()), targets.filter(F.col(DEVICE).isNotNull())
+    rows = (
+        sessions.select(DEVICE, F.lit(0).alias("target"))
+        .unionByName(targets.select(DEVICE, F.lit(1).alias("target")))
         .groupBy(DEVICE)
         .agg(
             F.count_if(F.col("target") == 0).alias("sessions"),
             F.count_if(F.col("target") == 1).alias("targets"),
-            F.max("changed").alias("changed"),
         )
     )
-    past, asking = F.col("sessions"), F.col("targets")
-    in_window = ~F.col("changed") & (past + asking <= limits.window_rows)
-    in_array = (past <= limits.array_sessions) & (past * asking <= limits.array_work)
-    path = F.when(in_window, None).when(in_array, "arrays").otherwise("prefix")
-    routes = stage(
-        devices.select(DEVICE, path.alias("path")).filter(F.col("path").isNotNull()), "routes"
-    )
-    taken = {row["path"] for row in routes.select("path").distinct().collect()}
-    if not taken:
-        return _by_windows(sessions, targets, measures)
+    read = F.col("sessions").cast("double") * F.col("targets") * len(measures)
+    over = (F.col("sessions") > limits.sessions) | (read > limits.values)
+    crowded = stage(rows.filter(over & (F.col("targets") > 0)).select(DEVICE), "crowded")
+    if crowded.isEmpty():
+        results = [_by_arrays(sessions, targets, measures)]
+    else:
+        chosen = small_side(crowded)
 
-    def part(how: str, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
-        chosen = small_side(devices.select(DEVICE))
-        return sessions.join(chosen, DEVICE, how), targets.join(chosen, DEVICE, how)
+        def part(how: str) -> tuple[DataFrame, DataFrame]:
+            return sessions.join(chosen, DEVICE, how), targets.join(chosen, DEVICE, how)
 
-    results = [_by_windows(*part("left_anti", routes), measures)]
-    if "arrays" in taken:
-        results.append(_by_arrays(*part("left_semi", routes.filter("path = 'arrays'")), measures))
-    if "prefix" in taken:
-        crowded = part("left_semi", routes.filter("path = 'prefix'"))
-        results.append(_by_prefix(*crowded, measures, chunk))
-    return reduce(DataFrame.unionByName, results)
+        results = [_by_arrays(*part("left_anti"), measures), _by_prefix(*part("left_semi"), measures, chunk)]
+    nothing = lost.withColumn("seen", F.lit(None).cast(_array_type(sessions, measures)))
+    return reduce(DataFrame.unionByName, [*results, _from_arrays(nothing, targets.columns, measures)])
 
 
 # --- devices within the limits ------------------------------------
 
 
-AGGREGATES = {"n": "count", "mean": "avg", "std": "stddev_samp", "max": "max", "sum": "sum"}
-EARLIER = f"ORDER BY {POS} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-FRAMES = {
-    ALL: f"(PARTITION BY {DEVICE} {EARLIER})",
-    ASSESSMENTS: f"(PARTITION BY {DEVICE} {EARLIER})",
-    SAME_TITLE: f"(PARTITION BY {DEVICE}, same {EARLIER})",
-}
-
-
-def _statistic(stat: str, value: str, frame: str) -> str:
-    if stat == "median":
-        return f"percentile({value}, 0.5) OVER {frame}"
-    if stat == "n":
-        return f"count({value}) OVER {frame}"
-    total = f"{AGGREGATES[stat]}(CAST({value} AS DOUBLE)) OVER {frame}"
-    return f"coalesce({total}, 0D)" if stat == "sum" else total
-
-
 def _features(measures: Sequence[Measure]) -> Iterator[tuple[int, str, str, str]]:
     """Measure number, statistic, sessions that count and column name of every feature."""
     for i, m in enumerate(measures):
@@ -169,28 +139,6 @@ def _features(measures: Sequence[Measure]) -> Iterator[tuple[int, str, str, str]
             yield i, stat, m.over, m.name if stat == "n" else column
 
 
-def _by_windows(
-    sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure]
-) -> DataFrame:
-    past = sessions.selectExpr(
-        DEVICE, POS, "title AS same", *[f"{m.among()} AS m{i}" for i, m in enumerate(measures)]
-    ).withColumn("target", F.lit(None).cast(targets.schema))
-    columns = ", ".join(quoted(c) for c in targets.columns)
-    asked = targets.selectExpr(
-        DEVICE, POS, "assessment_title AS same", f"struct({columns}) AS target"
-    )
-    features = [
-        f"{_statistic(stat, f'm{i}', FRAMES[over])} AS {quoted(name)}"
-        for i, stat, over, name in _features(measures)
-    ]
-    return (
-        past.unionByName(asked, allowMissingColumns=True)
-        .selectExpr("target", *features)
-        .filter("target IS NOT NULL")
-        .selectExpr("target.*", *[quoted(name) for *_, name in _features(measures)])
-    )
-
-
 def _array_statistic(stat: str, xs: str) -> str:
     """A statistic of an array of doubles, in SQL; null where it has no value.
 
@@ -209,11 +157,17 @@ def _array_statistic(stat: str, xs: str) -> str:
     }[stat]
 
 
+def _array_type(sessions: DataFrame, measures: Sequence[Measure]) -> str:
+    at, title = (sessions.schema[c].dataType.simpleString() for c in (POS, "title"))
+    values = ", ".join(f"m{i}: double" for i in range(len(measures)))
+    return f"array<struct<{POS}: {at}, until: {at}, title: {title}, {values}>>"
+
+
 def _by_arrays(
     sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure]
 ) -> DataFrame:
     """Each target reads the one array of its device, whose length the limits bound."""
-    next_state = F.lit(None).cast("bigint")
+    next_state = F.lit(None).cast(sessions.schema[POS].dataType)
     if "before" in sessions.columns:
         next_state = F.lead(POS).over(W.partitionBy(DEVICE, "game_session").orderBy(POS))
     values = [f"CAST({m.among()} AS DOUBLE) AS m{i}" for i, m in enumerate(measures)]
@@ -225,6 +179,11 @@ def _by_arrays(
         *[quoted(c) for c in targets.columns],
         f"""filter(states, s -> s.{POS} < {POS} AND (s.until IS NULL OR s.until >= {POS})) AS seen""",
     )
+    return _from_arrays(seen, targets.columns, measures)
+
+
+def _from_arrays(seen: DataFrame, columns: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """The targets' `columns` and every feature of what each has `seen`; null is nothing."""
     arrays = []
     for i, m in enumerate(measures):
         value = f"s.m{i}"
@@ -233,7 +192,7 @@ def _by_arrays(
         known = f"filter(transform(seen, s -> {value}), v -> v IS NOT NULL)"
         known = f"coalesce({known}, CAST(array() AS ARRAY<DOUBLE>))"
         arrays.append(f"sort_array({known}) AS m{i}" if ORDERED & set(m.stats) else f"{known} AS m{i}")
-    kept = [quoted(c) for c in targets.columns]
+    kept = [quoted(c) for c in columns]
     spread = {i for i, m in enumerate(measures) if "std" in m.stats}
     means = [f"{_array_statistic('mean', f'm{i}')} AS mean_m{i}" for i in sorted(spread)]
     features = [
@@ -277,10 +236,16 @@ def _by_prefix(
         items = items.unionByName(_long(replaced, measures, -1))
 
     items = stage(items, "items")
+    # Where the values of a device lie; whole, so that whole values stay whole.
+    centres = items.filter("weight > 0").groupBy(*keys).agg(F.round(F.avg("value")).alias("centre"))
+    centres = stage(centres, "centres")
+    centred = items.join(centres, keys).withColumn("value", F.col("value") - F.col("centre"))
     # A deviation needs the extremes, which tell a constant from rounding noise.
     needs_rank = [i for i, m in enumerate(measures) if {"std", *ORDERED} & set(m.stats)]
     sortable = items.filter(F.col("measure").isin(needs_rank))
-    ranks = stage(ranked_values(sortable, ["measure", "value"]), "codes")
+    ranks = ranked_values(sortable, ["measure", "value"])
+    lowest = F.min("code").over(W.partitionBy("measure"))
+    ranks = stage(ranks.withColumn("code", F.col("code") - lowest), "codes")
     coded = stage(sortable.join(small_side(ranks), ["measure", "value"]), "coded")
 
     scopes = [
@@ -297,7 +262,7 @@ def _by_prefix(
     asked = wanted.select(*keys, POS).distinct()
 
     value, weight = F.col("value"), F.col("weight")
-    moments = items.select(
+    moments = centred.select(
         *keys,
         POS,
         F.lit(0).alias("asks"),
@@ -333,14 +298,14 @@ def _by_prefix(
         .groupBy(*at)
         .agg(F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("v"))
     )
-    joined = totals.join(by_rank, at, "left")
+    joined = totals.join(by_rank, at, "left").join(centres, keys)
     low, high = F.element_at("v", F.lit(1).cast("bigint")), F.element_at("v", n)
     spread = F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / n, F.lit(0.0))
     stats = joined.select(
         *at,
         n.cast("double").alias("n"),
-        F.col("s1").alias("sum"),
-        (F.col("s1") / n).alias("mean"),
+        (F.col("s1") + n * F.col("centre")).alias("sum"),
+        (F.col("s1") / n + F.col("centre")).alias("mean"),
         F.when(n < 2, F.lit(None).cast("double"))
         .when(low == high, 0.0)
         .otherwise(F.sqrt(spread / F.nullif(n - 1, F.lit(0))))

@@ -7,14 +7,14 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import small_side, stage
+from tidemark.session import small_side
 
 SESSION_ORDER = ("timestamp", "game_session")
 
 
 def _beside(table: DataFrame) -> DataFrame:
-    """A lookup table computed once, and broadcast if its counted size allows."""
-    return small_side(stage(table, "lookup"))
+    """A lookup table computed once, and broadcast if its size in bytes allows."""
+    return small_side(table)
 
 
 def common_group_by_title(labels: DataFrame) -> DataFrame:
@@ -29,10 +29,17 @@ def common_group_by_title(labels: DataFrame) -> DataFrame:
 def first_by_title(
     sessions: DataFrame, columns: Iterable[str], order: Iterable[str] = SESSION_ORDER
 ) -> DataFrame:
-    """Each title's first value that is not null, per column, in session order."""
-    position = F.struct(*order)
+    """Each title's first value that is not null, per column, in session order.
+
+    Rows at the same position are ordered by all the columns together, so that one row's values
+    stay together.
+    """
+    columns = list(columns)
+    position = F.struct(*[F.col(c).alias(f"at{i}") for i, c in enumerate([*order, *columns])])
     picks = [
-        F.min(F.when(F.col(c).isNotNull(), F.struct(position, F.col(c)))).getField(c).alias(c)
+        F.min(F.when(F.col(c).isNotNull(), F.struct(position, F.col(c).alias("value"))))
+        .getField("value")
+        .alias(c)
         for c in columns
     ]
     return sessions.filter(F.col("title").isNotNull()).groupBy("title").agg(*picks)

@@ -215,7 +215,7 @@ def features_from_events(
     flagged = _flagged(train_events)
     sessions = whole_sessions(flagged, codes, props)
     starts = sessions.select(h.DEVICE, "game_session", "timestamp")
-    targets = train_targets(labels, train_events, starts)
+    targets = train_targets(labels, sessions, starts)
     return event_features(flagged, sessions, targets, codes, vocabulary, props, limits)
 
 

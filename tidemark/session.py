@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -15,8 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# A side with at most this many narrow rows is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 1_000_000
+# A join side of at most this many bytes is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 16 << 20
 
 
 def build_session(
@@ -73,11 +74,23 @@ def release(*staged: DataFrame) -> None:
         files.delete(at, True)
 
 
-def counted_up_to(df: DataFrame, rows: int) -> int:
-    """The number of rows, counted no further than one beyond `rows`."""
-    return df.limit(rows + 1).count()
-
-
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a join side after counting it; leave a larger one to the shuffle join."""
-    return F.broadcast(df) if counted_up_to(df, rows) <= rows else df
+def table_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows take in memory: texts and nested values by their length,
+    eight for any other value. One partial sum per task moves."""
+    width = F.lit(8)
+    for field in df.schema:
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            width = width + 8 + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + 8 + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            width = width + 8
+    return df.agg(F.sum(width.cast("long"))).first()[0] or 0
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A join side, computed once: broadcast if it has at most `most` bytes, else left to the
+    shuffle join."""
+    side = df if hasattr(df, "_staged_at") else stage(df, "side")
+    return F.broadcast(side) if table_bytes(side) <= most else side

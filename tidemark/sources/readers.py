@@ -2,37 +2,81 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import schemas
+from tidemark.functions.naming import quoted
 
+# What a whole-file reader takes for a missing value.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
-def csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV with a header; a doubled quote stands for one, an empty field is missing."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+
+def _texts(spark: SparkSession, path: str, names: Iterable[str], multi_line: bool) -> DataFrame:
+    """The named columns as text, found by the header; every file's header must be the same."""
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("mode", "FAILFAST")
+        )
+
+    found = reader().csv(path).columns
+    absent = sorted(set(names) - set(found))
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    layout = StructType([StructField(c, StringType()) for c in found])
+    table = reader().option("enforceSchema", False).schema(layout).csv(path)
+    return table.select(*[quoted(c) for c in names])
+
+
+def csv_table(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    missing: Iterable[str] = MISSING,
+    multi_line: bool = True,
+) -> DataFrame:
+    """The columns of `schema` from a CSV, by the names in its header, whatever else it has.
+
+    A doubled quote stands for one, and a quoted field may hold line breaks; files without any
+    are read in several parts each with `multi_line` off. A field that is one of `missing` is
+    null; any other that does not fit its type is an error, and so is a column that is absent.
+    """
+    fields = StructType.fromDDL(schema).fields
+    texts = _texts(spark, path, [f.name for f in fields], multi_line)
+    tokens = list(missing)
+
+    def typed(field: StructField):
+        text = F.col(quoted(field.name))
+        known = F.when(~text.isin(tokens), text) if tokens else text
+        return known.cast(field.dataType).alias(field.name)
+
+    return texts.select(*[typed(f) for f in fields])
 
 
-def csv_events(spark: SparkSession, path: str) -> DataFrame:
-    return csv_table(spark, path, schemas.EVENTS)
+def csv_events(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Events, field by field: only an empty field is missing."""
+    return csv_table(spark, path, schemas.EVENTS, ("",), multi_line)
 
 
-def csv_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The same file with every field as text, to be cast by the caller."""
-    names = spark.createDataFrame([], schema).columns
-    return csv_table(spark, path, ", ".join(f"`{c}` string" for c in names))
+def csv_text(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """The same columns with every field as text, to be cast by the caller."""
+    return _texts(spark, path, StructType.fromDDL(schema).names, multi_line)
 
 
 def labels(spark: SparkSession, path: str) -> DataFrame:
     """Targets of each labelled session; only the needed columns are parsed."""
-    return csv_table(spark, path, schemas.LABELS).select(
+    wanted = StructType([f for f in StructType.fromDDL(schemas.LABELS) if f.name != "title"])
+    return csv_table(spark, path, wanted.toDDL()).select(
         "installation_id",
         F.col("game_session").alias("assessment_game_session"),
         "num_correct",
@@ -50,13 +94,10 @@ def event_props(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def props_by_event(props: DataFrame, limit: int = 10_000) -> dict[str, tuple[str, ...]]:
-    """The property table as a setting for the session aggregates."""
-    rows = props.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} event properties")
+def props_by_event(props: DataFrame) -> dict[str, tuple[str, ...]]:
+    """The property table as a setting for the session aggregates, one column per row."""
     found: dict[str, list[str]] = {}
-    for row in sorted(rows):
+    for row in sorted(props.collect()):
         found.setdefault(row["event_id"], []).append(row["prop"])
     return {event_id: tuple(names) for event_id, names in found.items()}
 

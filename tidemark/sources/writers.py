@@ -19,16 +19,17 @@ def table(df: DataFrame, path: str, form: str = "parquet") -> None:
 
 
 def exists(df_or_spark, path: str) -> bool:
+    """Whether a whole table is there: a write that failed leaves no mark of success."""
     spark = getattr(df_or_spark, "sparkSession", df_or_spark)
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(jvm_path)
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    files = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(mark)
 
 
 def table_if_absent(df: DataFrame, path: str) -> None:
-    """Build a table only where there is none; an existing one is kept as it is."""
+    """Build a table only where there is no whole one; that is kept as it is."""
     if not exists(df, path):
-        df.write.mode("ignore").parquet(path)
+        df.write.mode("overwrite").parquet(path)
 
 
 def config(df: DataFrame, path: str) -> None:
