@@ -8,7 +8,7 @@ from checks import telemetry as t
 from checks.registry import query
 from tidemark.fixed import COUNTED_EVENT_IDS, EVENT_PROPS
 from tidemark.functions import rules
-from tidemark.functions.attempts import flags_from_json, flags_from_text, is_attempt
+from tidemark.functions.attempts import is_attempt
 from tidemark.functions.naming import code_column, id_column, prop_column
 from tidemark.operators import events as ev
 from tidemark.operators import sessions as se
@@ -61,19 +61,18 @@ def attempt_flags(spark, sf_dir):
     return t.telemetry(spark, sf_dir).select(*KEY_COLUMNS, is_attempt().cast("int").alias("attempt"))
 
 
+def flags(spark, sf_dir, by):
+    flagged = ev.flag_attempts(t.telemetry(spark, sf_dir), by)
+    return flagged.select(*KEY_COLUMNS, "event_data", "is_correct_attempt", "is_uncorrect_attempt")
+
+
 @query(
     "attempt_flags_substring",
     f"""WITH {t.EV} SELECT {KEYS}, event_data, right_text AS is_correct_attempt,
     wrong_text AS is_uncorrect_attempt FROM fl""",
 )
 def attempt_flags_substring(spark, sf_dir):
-    right, wrong = flags_from_text()
-    return t.telemetry(spark, sf_dir).select(
-        *KEY_COLUMNS,
-        "event_data",
-        right.alias("is_correct_attempt"),
-        wrong.alias("is_uncorrect_attempt"),
-    )
+    return flags(spark, sf_dir, "text")
 
 
 @query(
@@ -82,13 +81,7 @@ def attempt_flags_substring(spark, sf_dir):
     wrong_json AS is_uncorrect_attempt FROM fl""",
 )
 def attempt_flags_json(spark, sf_dir):
-    right, wrong = flags_from_json()
-    return t.telemetry(spark, sf_dir).select(
-        *KEY_COLUMNS,
-        "event_data",
-        right.alias("is_correct_attempt"),
-        wrong.alias("is_uncorrect_attempt"),
-    )
+    return flags(spark, sf_dir, "json")
 
 
 @query(
@@ -247,7 +240,7 @@ def event_code_counts(spark, sf_dir):
     f"WITH {t.EV} SELECT game_session{ID_COUNTS} FROM ev GROUP BY game_session",
 )
 def event_id_counts(spark, sf_dir):
-    return t.telemetry(spark, sf_dir).groupBy("game_session").agg(*ev.id_counts())
+    return se.counts_by_value(t.telemetry(spark, sf_dir), "event_id", COUNTED_EVENT_IDS, id_column)
 
 
 @query(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import telemetry as t
-from checks.event_queries import fold_sql
-from checks.history_queries import LABELS
+from checks.event_queries import ONE_HOT_GROUPS, fold_sql
+from checks.history_queries import CODE_COUNTS, ID_COUNTS, LABELS
 from checks.registry import query
 from tidemark import schemas
 from tidemark.functions import rules
@@ -230,16 +230,18 @@ def specs_html_rows(spark, sf_dir):
 
 @query(
     "stream_session_agg",
-    f"""WITH {t.EV}, {fold_sql('fl', ', greatest(0, max(game_time)) AS game_time, count(*) AS n_events')}
-    SELECT * EXCLUDE (grp, accuracy_rate) FROM s""",
+    f"""WITH {t.EV}, {fold_sql('fl', ', greatest(0, max(game_time)) AS game_time, count(*) AS n_events'
+    + CODE_COUNTS + ID_COUNTS)}
+    SELECT * EXCLUDE (grp) REPLACE (round(accuracy_rate, 6) AS accuracy_rate), {ONE_HOT_GROUPS} FROM s""",
 )
 def stream_session_agg(spark, sf_dir):
+    """Three batches, the first two of which are merged on the way."""
     events = t.telemetry(spark, sf_dir)
     source = scratch_path(spark, "event_files")
-    events.repartition(4).write.parquet(source)
+    events.repartition(6).write.parquet(source)
     stream = (
         spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
     )
     out = scratch_path(spark, "session_updates")
-    st.run_to_end(st.streaming_sessions(stream), out, scratch_path(spark, "stream_state"))
-    return st.latest(spark.read.parquet(out))
+    st.run_to_end(stream, out, scratch_path(spark, "stream_state"), t.CODES, t.COUNTED, merge_every=2)
+    return st.sessions_so_far(spark, out)

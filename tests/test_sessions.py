@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from tests.fixtures import BIRD, CODES, RIGHT, event, events
 from tidemark.functions import rules
-from tidemark.functions.attempts import flags_from_json, flags_from_text
 from tidemark.operators import events as ev
 from tidemark.operators import lookups as lo
 from tidemark.operators import sessions as se
@@ -78,20 +77,19 @@ CASES = {
 }
 
 
-def flagged(spark, flags, texts):
+def flagged(spark, by, texts):
     rows = [event("10:00:00", "s", BIRD, 4110, data=x) for x in texts]
-    right, wrong = flags()
-    picked = events(spark, rows).select("event_data", right.alias("r"), wrong.alias("w"))
-    return {row["event_data"]: (row["r"], row["w"]) for row in picked.collect()}
+    picked = ev.flag_attempts(events(spark, rows), by).collect()
+    return {r["event_data"]: (r["is_correct_attempt"], r["is_uncorrect_attempt"]) for r in picked}
 
 
 def test_json_truth(spark):
-    assert flagged(spark, flags_from_json, CASES) == CASES
+    assert flagged(spark, "json", CASES) == CASES
 
 
 def test_malformed_payload_is_an_error(spark):
     with pytest.raises(Exception, match="MALFORMED"):
-        flagged(spark, flags_from_json, ['{"correct":'])
+        flagged(spark, "json", ['{"correct":'])
 
 
 def test_text_flags_mind_spaces_and_see_nested_keys(spark):
@@ -101,7 +99,7 @@ def test_text_flags_mind_spaces_and_see_nested_keys(spark):
         '{"a":{"correct":true}}': (1, 0),
         '{"correct":false}': (0, 1),
     }
-    assert flagged(spark, flags_from_text, want) == want
+    assert flagged(spark, "text", want) == want
 
 
 def test_accuracy_rules(spark):

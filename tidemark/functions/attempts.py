@@ -31,28 +31,27 @@ def flags_from_text() -> tuple[Column, Column]:
     )
 
 
-def json_truth(payload: Column, key: str) -> Column:
-    """True or false as a scripting language would see the value; null where the key is absent."""
-    path = f"$.{key}"
-    document = F.parse_json(payload)
-    value = F.try_variant_get(document, path, "variant")
+def json_value(payload: Column, key: str) -> Column:
+    """The value of a key of a JSON payload, parsed once; null where the key is absent."""
+    return F.try_variant_get(F.parse_json(payload), f"$.{key}", "variant")
+
+
+def truth_of(value: Column) -> Column:
+    """True or false as a scripting language would see a JSON value."""
     kind = F.schema_of_variant(value)
-    text = F.try_variant_get(document, path, "string")
+    text = F.try_variant_get(value, "$", "string")
     return (
         F.when(kind.isNull(), F.lit(None).cast("boolean"))
         .when(kind == "VOID", F.lit(False))
-        .when(kind == "BOOLEAN", F.try_variant_get(document, path, "boolean"))
+        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
         .when(kind == "STRING", text != "")
         .when(kind.startswith("ARRAY"), text != "[]")
         .when(kind.startswith("OBJECT"), text != "{}")
-        .otherwise(F.try_variant_get(document, path, "double") != 0)
+        .otherwise(F.try_variant_get(value, "$", "double") != 0)
     )
 
 
-def flags_from_json() -> tuple[Column, Column]:
-    """Right and wrong, by the parsed payload. Only payloads of attempts are parsed."""
-    truth = F.when(is_attempt(), json_truth(F.col("event_data"), "correct"))
+def flags_from_json(value: Column) -> tuple[Column, Column]:
+    """Right and wrong, by the payload's value; null for what is no attempt."""
+    truth = truth_of(value)
     return _flag(truth), _flag(~truth)
-
-
-FLAGS = {"json": flags_from_json, "text": flags_from_text}

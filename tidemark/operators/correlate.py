@@ -12,19 +12,23 @@ from pyspark.sql import functions as F
 from tidemark.fixed import CORRELATION_LIMIT
 from tidemark.functions.naming import quoted
 
-PAIR_SUMS = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+SUMS = ("n", "x", "y", "xx", "yy", "xy")
+PARTIAL = ", ".join(["i int", *[f"{s} array<double>" for s in SUMS]])
+PAIR_SUMS = ", ".join(["i int", "j int", *[f"{s} double" for s in SUMS]])
 
 # A variance this small beside the squares it comes from is rounding noise of a constant.
 NOISE = 1e-12
 
 
-def _pair_sums(shifts: np.ndarray):
-    """Per partition, the sums over complete pairs of every column pair."""
+def _partial_sums(shifts: np.ndarray):
+    """Per task, a row for each column: its sums with every later column over complete pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = len(shifts)
         n, x, xx, xy = (np.zeros((p, p)) for _ in range(4))
+        seen = False
         for batch in batches:
+            seen = True
             table = np.column_stack(
                 [c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]
             )
@@ -35,24 +39,30 @@ def _pair_sums(shifts: np.ndarray):
             x += table.T @ known
             xx += (table * table).T @ known
             xy += table.T @ table
-        i, j = np.triu_indices(p, k=1)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(i.astype(np.int32)),
-                pa.array(j.astype(np.int32)),
-                *[pa.array(m) for m in (n[i, j], x[i, j], x[j, i], xx[i, j], xx[j, i], xy[i, j])],
-            ],
-            names=["i", "j", "n", "x", "y", "xx", "yy", "xy"],
-        )
+        for i in range(p - 1 if seen else 0):
+            later = slice(i + 1, p)
+            sums = (n[i, later], x[i, later], x[later, i], xx[i, later], xx[later, i], xy[i, later])
+            columns = [pa.array([i], pa.int32()), *[pa.array([s]) for s in sums]]
+            yield pa.RecordBatch.from_arrays(columns, names=["i", *SUMS])
 
     return run
 
 
+def _added(rows: pa.Table) -> pa.Table:
+    """A column's rows of all tasks, added up and laid out as pairs."""
+    i = rows["i"][0].as_py()
+    totals = [np.sum([np.asarray(a.values) for a in rows[s]], axis=0) for s in SUMS]
+    j = np.arange(i + 1, i + 1 + len(totals[0]), dtype=np.int32)
+    columns = [pa.array(np.full(len(j), i, dtype=np.int32)), pa.array(j), *map(pa.array, totals)]
+    return pa.table(dict(zip(["i", "j", *SUMS], columns, strict=True)))
+
+
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair over the rows where both are known.
 
-    Each task adds up its own rows, so what moves is one row per pair and task. Columns are
-    shifted by their mean first, which keeps the sums accurate. Constants correlate as null.
+    As many tasks as run at once add up all rows, however many partitions there are; of each, a
+    row per column moves, and a column's rows meet in one task. Columns are shifted by their mean
+    first, which keeps the sums accurate. Constants correlate as null.
     """
     columns = list(columns)
     numbers = df.select(
@@ -60,10 +70,9 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     means = numbers.agg(*[F.avg(f"c{i}") for i in range(len(columns))]).first()
     shifts = np.array([0.0 if m is None else m for m in means])
-    sums = numbers.mapInArrow(_pair_sums(shifts), PAIR_SUMS)
-    total = sums.groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")]
-    )
+    at_once = df.sparkSession.sparkContext.defaultParallelism
+    partial = numbers.coalesce(at_once).mapInArrow(_partial_sums(shifts), PARTIAL)
+    total = partial.groupBy("i").applyInArrow(_added, PAIR_SUMS)
     n = F.nullif(F.col("n"), F.lit(0.0))
 
     def spread(product: str, one: str, other: str):

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.fixed import COUNTED_EVENT_IDS, EVENT_PROPS
-from tidemark.functions.attempts import FLAGS
-from tidemark.functions.naming import code_column, id_column, literal, prop_column, quoted
+from tidemark.functions.attempts import flags_from_json, flags_from_text, is_attempt, json_value
+from tidemark.functions.naming import code_column, literal, prop_column, quoted
 from tidemark.session import small_side, stage
 
 
@@ -28,8 +28,18 @@ def keep_devices(
 
 
 def flag_attempts(events: DataFrame, by: str = "json") -> DataFrame:
-    right, wrong = FLAGS[by]()
-    return events.withColumns({"is_correct_attempt": right, "is_uncorrect_attempt": wrong})
+    """Whether an event is a right or a wrong attempt, by the payload's `text` or its `json`.
+
+    Only payloads of attempts are parsed, and each once: the value is a column of its own, over
+    which the tests branch.
+    """
+    if by == "text":
+        right, wrong = flags_from_text()
+        return events.withColumns({"is_correct_attempt": right, "is_uncorrect_attempt": wrong})
+    value = F.when(is_attempt(), json_value(F.col("event_data"), "correct"))
+    right, wrong = flags_from_json(F.col("_correct"))
+    told = events.withColumn("_correct", value)
+    return told.withColumns({"is_correct_attempt": right, "is_uncorrect_attempt": wrong}).drop("_correct")
 
 
 def counted_events(events: DataFrame, ids: Iterable[str] = COUNTED_EVENT_IDS) -> DataFrame:
@@ -44,10 +54,6 @@ def code_counts(codes: Iterable[object]) -> list[Column]:
     return [_count_if("event_code", code, code_column(code)) for code in codes]
 
 
-def id_counts(ids: Iterable[str] = COUNTED_EVENT_IDS) -> list[Column]:
-    return [_count_if("event_id", event_id, id_column(event_id)) for event_id in ids]
-
-
 def with_props(
     events: DataFrame, props: Mapping[str, Iterable[str]] = EVENT_PROPS
 ) -> DataFrame:

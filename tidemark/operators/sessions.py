@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import COUNTED_EVENT_IDS, EVENT_PROPS
 from tidemark.functions.rules import accuracy_group, accuracy_rate, group_columns
-from tidemark.operators.events import code_counts, flag_attempts, id_counts, prop_sums, with_props
+from tidemark.functions.naming import code_column, id_column, quoted
+from tidemark.operators.events import code_counts, flag_attempts, prop_sums, with_props
 
 KEY = "game_session"
 ORDER = ("timestamp", "event_count")
@@ -105,13 +106,33 @@ def gap_stats(events: DataFrame, key: str = KEY, value: str = "game_time") -> Da
     )
 
 
+def counts_by_value(events: DataFrame, column: str, values: Iterable[object], name) -> DataFrame:
+    """How often each listed value stands in each session, a column per value named by `name`.
+
+    Rows are counted per (session, value) first, so an event is not compared with every value,
+    and the counts are partitioned by session, as the session table is.
+    """
+    values = list(values)
+    counted = events.filter(F.col(KEY).isNotNull()).groupBy(KEY).pivot(column, values).count()
+    columns = [
+        F.coalesce(F.col(quoted(str(v))), F.lit(0).cast("bigint")).alias(name(v)) for v in values
+    ]
+    return counted.select(KEY, *columns)
+
+
 def sessions_with_ids(
     events: DataFrame, codes: Iterable[object], ids: Iterable[str] = COUNTED_EVENT_IDS
 ) -> DataFrame:
-    """Session table with code and id counts and game-time gaps."""
-    flagged = flag_attempts(events, "json")
-    counts = [F.max("game_time").alias("game_time"), *code_counts(codes), *id_counts(ids)]
-    return with_accuracy(fold(flagged, counts)).join(gap_stats(events), KEY, "left").na.fill(0.0)
+    """Session table with code and id counts and game-time gaps; events without a session are out."""
+    events = events.filter(F.col(KEY).isNotNull())
+    sessions = fold(flag_attempts(events, "json"), [F.max("game_time").alias("game_time")])
+    for column, values, name in (("event_code", codes, code_column), ("event_id", ids, id_column)):
+        if values:
+            sessions = sessions.join(counts_by_value(events, column, values, name), KEY)
+    order = [KEY, *FIRST_SEEN, "event_count", "correct_attempts", "uncorrect_attempts", "game_time"]
+    counts = [c for c in sessions.columns if c not in order]
+    sessions = sessions.select(*order, *[quoted(c) for c in counts])
+    return with_accuracy(sessions).join(gap_stats(events), KEY, "left").na.fill(0.0)
 
 
 def sessions_with_props(

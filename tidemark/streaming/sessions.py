@@ -1,33 +1,114 @@
-"""The session fold over a stream of event files, kept up to date in a table."""
+"""The session fold over a stream of event files.
+
+Every aggregate of the fold merges, so a batch is folded by itself and written as a part, and the
+stream keeps no state. Parts are merged into one table from time to time, which bounds how many
+there are; a session's row is what its parts merge to.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.naming import code_column, id_column, quoted
 from tidemark.operators.events import flag_attempts
-from tidemark.operators.sessions import KEY, fold
+from tidemark.operators.sessions import FIRST_SEEN, KEY, counts_by_value, first_row, with_accuracy
+from tidemark.sources.writers import exists
+
+# How columns of two parts merge; all others add up.
+_MERGED = {"first": F.min, "event_count": F.max, "game_time": F.max}
+
+
+def fold_part(events: DataFrame, codes: Iterable[object] = (), ids: Iterable[str] = ()) -> DataFrame:
+    """One row per session of the given events, in columns that merge."""
+    events = events.filter(F.col(KEY).isNotNull())
+
+    def largest(name: str):
+        return F.greatest(F.lit(0), F.max(name)).cast("bigint").alias(name)
+
+    part = (
+        flag_attempts(events, "json")
+        .groupBy(KEY)
+        .agg(
+            first_row(FIRST_SEEN).alias("first"),
+            largest("event_count"),
+            F.sum("is_correct_attempt").alias("correct_attempts"),
+            F.sum("is_uncorrect_attempt").alias("uncorrect_attempts"),
+            largest("game_time"),
+            F.count("*").alias("n_events"),
+        )
+    )
+    for column, values, name in (("event_code", codes, code_column), ("event_id", ids, id_column)):
+        values = list(values)
+        if values:
+            part = part.join(counts_by_value(events, column, values, name), KEY)
+    return part
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """One row per session of all parts, still in columns that merge."""
+    columns = [c for c in parts.columns if c != KEY]
+    return parts.groupBy(KEY).agg(
+        *[_MERGED.get(c, F.sum)(quoted(c)).alias(c) for c in columns]
+    )
+
+
+def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """The numbers of the whole tables named kind=number under `path`."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in files.listStatus(folder)] if files.exists(folder) else []
+    found = [int(n.split("=")[1]) for n in names if n.startswith(f"{kind}=")]
+    return sorted(n for n in found if exists(spark, f"{path}/{kind}={n}"))
+
+
+def _paths(spark: SparkSession, path: str) -> list[str]:
+    """The newest merged table and the batches after it; older ones are in it already."""
+    merged = _numbers(spark, path, "merged")[-1:]
+    last = merged[0] if merged else -1
+    batches = [n for n in _numbers(spark, path, "batch") if n > last]
+    return [*[f"{path}/merged={n}" for n in merged], *[f"{path}/batch={n}" for n in batches]]
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def streaming_sessions(events: DataFrame) -> DataFrame:
-    """Running session rows. Every aggregate merges, so the state is one row per session."""
-    longest = F.greatest(F.lit(0), F.max("game_time")).cast("bigint").alias("game_time")
-    events_seen = F.count("*").alias("n_events")
-    return fold(flag_attempts(events, "json"), [longest, events_seen])
+def merge_written(spark: SparkSession, path: str, upto: int) -> None:
+    """Merge all parts up to batch `upto` into one table, then drop them. Can be repeated."""
+    if exists(spark, f"{path}/merged={upto}"):
+        return
+    old = _paths(spark, path)
+    merge_parts(spark.read.parquet(*old)).write.mode("overwrite").parquet(f"{path}/merged={upto}")
+    for part in old:
+        _drop(spark, part)
 
 
-def run_to_end(sessions: DataFrame, path: str, checkpoint: str) -> None:
-    """Process what is there and write the sessions each batch changed, one folder per batch.
+def run_to_end(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    codes: Iterable[object] = (),
+    ids: Iterable[str] = (),
+    merge_every: int = 16,
+) -> None:
+    """Process what is there: a part for each batch, merged after every `merge_every` batches.
 
-    A batch that is repeated after a failure overwrites its own folder.
+    A batch that is repeated after a failure replaces its own part, or is in a merged table and
+    no longer read.
     """
+    codes, ids = list(codes), list(ids)
 
-    def write(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    def write(batch: DataFrame, number: int) -> None:
+        fold_part(batch, codes, ids).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if (number + 1) % merge_every == 0:
+            merge_written(batch.sparkSession, path, number)
 
     (
-        sessions.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        events.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()
@@ -35,8 +116,11 @@ def run_to_end(sessions: DataFrame, path: str, checkpoint: str) -> None:
     )
 
 
-def latest(written: DataFrame) -> DataFrame:
-    """Each session's last written row."""
-    columns = [c for c in written.columns if c not in (KEY, "batch")]
-    newest = F.max_by(F.struct(*columns), F.col("batch")).alias("row")
-    return written.groupBy(KEY).agg(newest).select(KEY, "row.*")
+def sessions_so_far(spark: SparkSession, path: str) -> DataFrame:
+    """The session table as of the last batch, with accuracy."""
+    merged = merge_parts(spark.read.parquet(*_paths(spark, path)))
+    picks = [
+        F.col("first.at.timestamp" if c == "timestamp" else f"first.{c}").alias(c) for c in FIRST_SEEN
+    ]
+    rest = [quoted(c) for c in merged.columns if c not in (KEY, "first")]
+    return with_accuracy(merged.select(KEY, *picks, *rest))
