@@ -93,14 +93,20 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    ends = texts.agg(F.min("doc_id").cast("double"), F.max("doc_id").cast("double"), F.sum(F.octet_length("text").cast("long"))).first()
-    if ends[0] is None:
+    ends = texts.agg(
+        F.min("doc_id").alias("first"),
+        F.max("doc_id").alias("last"),
+        F.sum(F.octet_length("text").cast("long")).alias("bytes"),
+        F.count_if(F.col("doc_id").isNull()).alias("unnamed"),
+    ).first()
+    if ends.first is None:
         return fingerprints(texts).withColumn("next", F.struct(F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("fingerprint")))
-    low, width = ends[0], max((ends[1] - ends[0]) / _CELLS, 1.0)
+    low = float(ends.first)
+    width = max((float(ends.last) - low) / _CELLS, 1.0)
     # monotone in doc_id, also where doubles round
     cell = F.floor((F.col("doc_id").cast("double") - low) / width)
-    wanted = max(-(-ends[2] // _BUCKET_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    share = max(1, -(-ends[2] // wanted))
+    wanted = max(-(-ends.bytes // _BUCKET_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    share = max(1, -(-ends.bytes // wanted))
     # at most _CELLS + 1 rows from here to `last_of`
     cells = (
         texts.where("doc_id IS NOT NULL")
@@ -130,8 +136,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         .where("NOT entry")
         .select("doc_id", "text", "fingerprint", "next")
     )
-    first = texts.where("doc_id IS NOT NULL").orderBy("doc_id", "text").limit(1).select(
-        F.struct("text", fingerprint(F.col("text")).alias("fingerprint")).alias("next")
-    )
-    unnamed = fingerprints(texts.where("doc_id IS NULL"))
-    return named.union(unnamed.withColumn("one", F.lit(1)).join(F.broadcast(first.withColumn("one", F.lit(1))), "one").select(*named.columns))
+    if not ends.unnamed:
+        return named
+    first = texts.where(F.col("doc_id") == ends.first).agg(F.min("text")).first()[0]
+    following = F.struct(F.lit(first).alias("text"), fingerprint(F.lit(first)).alias("fingerprint"))
+    unnamed = fingerprints(texts.where("doc_id IS NULL")).withColumn("next", following)
+    return named.union(unnamed.select(*named.columns))
