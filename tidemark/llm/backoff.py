@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_bytes, texts_of
 
-_BLOCK_BYTES = 16 << 20
+_BLOCK_BYTES = 8 << 20
 _TABLE = 1 << 20  # n-grams that one part of a count table gets, about
-_WORDS = 1 << 18
+_WORDS = 1 << 17
+_SPARE_BITS = 20  # a hash has this many bits more than it takes to number all n-grams,
+_LEAST_BITS = 48  # and this many at least
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SENT = "part long, block long, size long, hashes binary, counts binary"
 _TOLD = "part long, block long, size long, counts binary"
@@ -57,7 +59,8 @@ def _numbers(planes: bytes) -> np.ndarray:
 class _Grams:
     """All n-grams of a block's documents: hashes by place, for n = 1 up to the order."""
 
-    def __init__(self, texts: list[bytes], order: int) -> None:
+    def __init__(self, texts: list[bytes], order: int, shift: int) -> None:
+        self.shift = np.uint64(shift)
         parts, self.lengths = [], np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
             words = text.lower().split()
@@ -75,12 +78,15 @@ class _Grams:
             longer[1:] = _mixed(self.hashes[-1][:-1] * _STEP + own[1:] + np.uint64(n))
             self.hashes.append(longer)
 
-    def ends(self, n: int) -> np.ndarray:
-        return np.flatnonzero(self.place >= n - 1)
+    def ending(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places where an n-gram ends, and its hash, in as many bits as are used."""
+        ends = np.flatnonzero(self.place >= n - 1)
+        return ends, self.hashes[n - 1][ends] >> self.shift
 
 
-def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.unique(x, return_inverse=True, return_counts=True)
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value starts in a sorted list."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
 
 
 def scores(
@@ -103,7 +109,8 @@ def scores(
 
     A-Z are lower-cased, words are runs without ASCII white space. A null or empty text has no
     words and scores 0. Repeated rows count and score each; null ids are rows like any other.
-    N-grams are told by 64-bit hashes.
+    N-grams are told by hashes, of 20 bits more than number all of them (48 at least, 64 at most):
+    the chance that one shares its hash with any other is at most one in a million.
     """
     spark = docs.sparkSession
     texts = as_bytes(texts_of(docs, id_col, text_col))
@@ -111,6 +118,8 @@ def scores(
     blocks = max(-(-size // _BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     # a word and its space are six bytes or more in most texts; one power of two of parts an order
     bits = max(0, math.ceil(math.log2(max(1, size / 6 / table))))
+    numbered = math.ceil(math.log2(max(1, size * order / 6)))
+    shift = 64 - min(64, max(_LEAST_BITS, numbered + _SPARE_BITS))
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
     def part_of(n: int, bucket: int) -> int:
@@ -120,16 +129,20 @@ def scores(
         """(part, from, to) of a sorted list of hashes; parts go by the leading bits."""
         if bits == 0:
             return [(part_of(n, 0), 0, len(ordered))]
-        edges = (np.arange(1, 1 << bits, dtype=np.uint64)) << np.uint64(64 - bits)
+        edges = (np.arange(1, 1 << bits, dtype=np.uint64)) << np.uint64(64 - shift - bits)
         at = [0, *np.searchsorted(ordered, edges).tolist(), len(ordered)]
         return [(part_of(n, b), x, y) for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if x < y]
 
     def send(own: pa.Table) -> pa.Table:
-        grams = _Grams(own["text"].to_pylist(), order)
+        grams = _Grams(own["text"].to_pylist(), order, shift)
         # part 0 adds up all words
         rows = [(0, 1, _planes(np.zeros(1)), _planes(grams.lengths.sum(keepdims=True)))]
         for n in range(1, order + 1):
-            ordered, _, counts = _distinct(grams.hashes[n - 1][grams.ends(n)])
+            ordered = np.sort(grams.ending(n)[1])
+            if not len(ordered):
+                continue
+            first = _firsts(ordered)
+            ordered, counts = ordered[first], np.diff(np.append(first, len(ordered)))
             for part, x, y in parts(n, ordered):
                 rows.append((part, y - x, _planes(np.diff(ordered[x:y], prepend=np.uint64(0))), _planes(counts[x:y])))
         columns = list(zip(*rows, strict=True))
@@ -146,24 +159,30 @@ def scores(
     def add_up(own: pa.Table) -> pa.Table:
         hashes = np.concatenate([np.cumsum(_numbers(h.as_py()), dtype=np.uint64) for h in own["hashes"]])
         counts = np.concatenate([_numbers(c.as_py()) for c in own["counts"]])
-        _, place, _ = _distinct(hashes)
-        totals = np.bincount(place, weights=counts).astype(np.uint64)[place]
+        # sorted runs one after another, which a stable sort merges
+        by_hash = np.argsort(hashes, kind="stable")
+        first = _firsts(hashes[by_hash])
+        sums = np.add.reduceat(counts[by_hash], first)
+        totals = np.empty(len(hashes), dtype=np.uint64)
+        totals[by_hash] = np.repeat(sums, np.diff(np.append(first, len(hashes))))
         sizes = np.cumsum(own["size"].to_numpy())[:-1]
         told = [_planes(t) for t in np.split(totals, sizes)]
         return own.select(["part", "block", "size"]).append_column("counts", pa.array(told, pa.binary()))
 
     def look_up(own: pa.Table, told: pa.Table) -> pa.Table:
-        grams = _Grams(own["text"].to_pylist(), order)
+        grams = _Grams(own["text"].to_pylist(), order, shift)
         told = told.sort_by("part")
         n_of = told["part"].to_numpy() >> bits
         totals = [_numbers(c.as_py()) for c in told["counts"]]
         counts = []  # by n: the corpus count of the n-gram that ends at each word, 0 where none can
         for n in range(1, order + 1):
             here = np.zeros(len(grams.doc))
-            ends = grams.ends(n)
+            ends, hashes = grams.ending(n)
             if len(ends):
-                _, place, _ = _distinct(grams.hashes[n - 1][ends])
-                here[ends] = np.concatenate([t for t, m in zip(totals, n_of, strict=True) if m == n])[place]
+                by_hash = np.argsort(hashes)
+                first = _firsts(hashes[by_hash])
+                own_totals = np.concatenate([t for t, m in zip(totals, n_of, strict=True) if m == n])
+                here[ends[by_hash]] = np.repeat(own_totals, np.diff(np.append(first, len(ends))))
             counts.append(here)
         words = float(totals[0][0])
         logs = np.zeros(len(grams.doc))

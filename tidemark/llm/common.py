@@ -9,9 +9,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_ROWS = 512
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Have the session send at most 512 rows to Python at a time, as a row may be a long text."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= _BATCH_ROWS:
+        conf.set(_BATCH, _BATCH_ROWS)
+    return df
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text), whatever else the table has; other columns cannot clash with ours."""
-    return docs.select(
+    return small_batches(docs).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
