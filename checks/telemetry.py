@@ -121,6 +121,14 @@ def test_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry(spark, sf_dir).filter(F.col("installation_id").cast("bigint") % 5 == 0)
 
 
+def test_until_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test events up to each device's last event of an assessment, as test devices end there."""
+    test = test_events(spark, sf_dir)
+    at = F.struct("timestamp", "event_count", "game_session", "event_id")
+    ends = test.filter(F.col("type") == ASSESSMENT).groupBy("installation_id").agg(F.max(at).alias("end"))
+    return test.join(ends, "installation_id").filter(at <= F.col("end")).select(*test.columns)
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training sessions that began as an assessment, and a few whose session is unknown."""
     train = train_events(spark, sf_dir)

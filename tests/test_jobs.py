@@ -2,6 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import telemetry as t
+from checks.file_queries import specs
+from tidemark.fixed import EVENT_PROPS
+from tidemark.operators import search as sr
 from tidemark.plans import jobs
 from tidemark.sources import writers as wr
 
@@ -11,17 +14,13 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def files(spark, tmp_path_factory):
     data = str(tmp_path_factory.mktemp("data"))
-    test = t.test_events(spark, SF)
-    ends = test.filter("type = 'Assessment'").groupBy("installation_id").agg(
-        F.max("timestamp").alias("end")
-    )
-    test = test.join(ends, "installation_id").filter("timestamp <= end").drop("end")
-    labels = t.labels(spark, SF)
+    test, labels = t.test_until_assessment(spark, SF), t.labels(spark, SF)
     order = ["game_session", "installation_id", "title", "num_correct", "num_incorrect"]
     columns = t.telemetry(spark, SF).columns
     wr.table(t.train_events(spark, SF), f"{data}/train.csv", "csv")
     wr.table(test.select(*columns), f"{data}/test.csv", "csv")
     wr.table(labels.select(*order, "accuracy_group"), f"{data}/train_labels.csv", "csv")
+    wr.table(specs(spark, SF).withColumn("event_id", F.substring("event_id", 1, 40)), f"{data}/specs.csv", "csv")
     return jobs.Files(spark, data, str(tmp_path_factory.mktemp("out")))
 
 
@@ -37,6 +36,63 @@ def test_sessions_to_submission(files):
     assert {r["accuracy_group"] for r in votes.collect()} <= {"0", "1", "2", "3"}
 
 
+def test_group_model_and_its_lists(files):
+    jobs.event_features(files)
+    assert files.read("train_event_features").count() == files.labels().count()
+    jobs.prune_list(files)
+    dropped = [r["feature"] for r in files.read("correlated_features").collect()]
+    assert dropped and set(dropped) < set(files.read("train_event_features").columns)
+    train, _, columns = jobs.group_matrices(files)
+    assert not set(dropped) & set(columns) and "assessment_title" in columns
+    score = jobs.predict_groups(files, folds=2, trees=3).first()["mean_score"]
+    assert score is None or -1 <= score <= 1
+    votes = files.spark.read.option("header", True).csv(files.path("group_submission"))
+    assert votes.count() == files.test().select("installation_id").distinct().count()
+    weights = files.read("feature_importances")
+    assert {r["feature"] for r in weights.collect()} == set(columns)
+    # what was useless is left out from now on
+    told = [(c, float(i > 0)) for i, c in enumerate(columns)]
+    files.write(files.spark.createDataFrame(told, "feature string, importance double"), "feature_importances")
+    assert jobs.group_matrices(files)[2] == columns[1:]
+
+
+def test_search_goes_on_where_it_ended(files, monkeypatch):
+    monkeypatch.setattr(jobs, "PROBES", {"num_correct": sr.PROBES["num_correct"][:1], "num_incorrect": ()})
+    quick = {"folds": 2, "rounds": 2, "trees": 2}
+    best = {r["log"]: r["target"] for r in jobs.tune(files, draws=0, **quick).collect()}
+    assert set(best) == {"tuning_num_correct"} and 0 <= best["tuning_num_correct"] <= 1
+    best = {r["log"]: r["target"] for r in jobs.tune(files, draws=1, **quick).collect()}
+    assert set(best) == {"tuning_num_correct", "tuning_num_incorrect"}
+    jobs.tune(files, draws=1, **quick)
+    from tidemark.sources import readers as rd
+
+    log = rd.tuning_log(files.spark, files.path("tuning_num_correct"))
+    assert log.count() == log.select(F.col("params")["learning_rate"]).distinct().count() == 2
+    jobs.rank_log(files)
+    ranked = [r["target"] for r in files.read("ranked_tuning_num_correct").collect()]
+    assert ranked == sorted(ranked, reverse=True) and ranked[0] == best["tuning_num_correct"]
+
+
+def test_group_search(files):
+    best = jobs.tune_groups(files, draws=1, trees=2).filter("log = 'tuning_groups'").first()
+    assert -1 <= best["target"] <= 1 and best["params"]["n_splits"] in (8.0, 9.0, 10.0, 11.0)
+
+
+def test_described_specs_are_the_property_map(files):
+    assert files.props() == EVENT_PROPS
+    jobs.describe_specs(files)
+    assert set(files.props()) == {"28520915"} and set(files.props()["28520915"]) == {"duration", "misses"}
+    assert files.spark.read.text(files.path("specs_html")).count() == files.specs().count()
+    jobs.prepare_events(files)
+    sums = [c for c in files.read("train_session_props").columns if "prop" in c]
+    assert len(sums) == 2
+
+
+def test_text_is_read_once(files):
+    assert "train_events" in files.train().inputFiles()[0]
+    assert files.words()["event_code"] == sorted(t.CODES)
+
+
 def test_prepared_tables(files):
     jobs.prepare_events(files)
     flagged = files.read("train")

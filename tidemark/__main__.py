@@ -17,7 +17,8 @@ def main() -> None:
     spark = build_session(f"tidemark {args.job}")
     score = JOBS[args.job](Files(spark, args.data, args.out))
     if score is not None:
-        print(score.first().asDict())
+        for row in score.collect():
+            print(row.asDict())
 
 
 if __name__ == "__main__":

@@ -57,8 +57,13 @@ def prune(df: DataFrame, *names: Iterable[str]) -> DataFrame:
 
 
 def zero_importance(importances: DataFrame) -> list[str]:
-    """Features a model never used; at most one row per column of the feature table."""
-    return [row["feature"] for row in importances.filter("importance = 0").collect()]
+    """Features a model never used; at most one row per column of the feature table.
+
+    A model that used none, as it never split, tells nothing about any.
+    """
+    rows = importances.collect()
+    unused = [row["feature"] for row in rows if row["importance"] == 0]
+    return unused if len(unused) < len(rows) else []
 
 
 def align(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,7 +79,11 @@ def stack_rows(left: DataFrame, right: DataFrame) -> DataFrame:
 def label_encode(
     train: DataFrame, *others: DataFrame, columns: Sequence[str] = CATEGORICAL
 ) -> list[DataFrame]:
-    """Text columns as numbers 0..n-1 by sorted training value; an unseen value is an error."""
+    """Text columns as numbers 0..n-1 by sorted training value; an unseen value is an error.
+
+    The columns are marked as nominal, with their values, so that trees take them as categories.
+    The training values are gathered by the driver: titles and worlds, not free text.
+    """
     coded = [f"{c}__code" for c in columns]
     indexer = StringIndexer(
         inputCols=list(columns),
@@ -82,17 +91,16 @@ def label_encode(
         stringOrderType="alphabetAsc",
         handleInvalid="error",
     ).fit(train)
+    values = dict(zip(columns, indexer.labelsArray, strict=True))
+
+    def code(c: str):
+        mark = {"ml_attr": {"type": "nominal", "name": c, "vals": list(values[c])}}
+        return F.col(f"{c}__code").cast("int").alias(c, metadata=mark)
+
     encoded = []
     for df in (train, *others):
         done = indexer.transform(df)
-        encoded.append(
-            done.select(
-                *[
-                    F.col(f"{c}__code").cast("int").alias(c) if c in columns else F.col(quoted(c))
-                    for c in df.columns
-                ]
-            )
-        )
+        encoded.append(done.select(*[code(c) if c in columns else F.col(quoted(c)) for c in df.columns]))
     return encoded
 
 

@@ -7,25 +7,34 @@ tables under `out` and the next one reads them back, so a job can be run again o
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.fixed import CATEGORICAL, COUNTED_EVENT_IDS, EVENT_PROPS
+from tidemark.functions.rules import truncated_settings
 from tidemark.operators.correlate import correlated_columns
 from tidemark.operators.encode import zero_importance
 from tidemark.operators.events import (
     common_codes,
-    counted_events,
-    distinct_values,
     flag_attempts,
     keep_devices,
     last_per_device,
     session_props,
 )
 from tidemark.operators.lookups import session_starts
-from tidemark.operators.search import BOUNDS, PROBES, candidates
+from tidemark.operators import models as mo
+from tidemark.operators.search import (
+    BOUNDS,
+    GROUP_BOUNDS,
+    PROBES,
+    Settings,
+    best_trial,
+    candidates,
+    ranked_trials,
+)
 from tidemark.operators.sessions import sessions_with_ids, sessions_with_props
 from tidemark.operators.specs import property_map, report_rows
 from tidemark.plans import features as fe
@@ -34,6 +43,9 @@ from tidemark.sources import readers as rd
 from tidemark.sources import writers as wr
 
 
+LOGS = ("tuning_num_correct", "tuning_num_incorrect", "tuning_accuracy_group", "tuning_groups")
+
+
 class Files:
     """The input files and the tables made from them."""
 
@@ -46,15 +58,40 @@ class Files:
     def labels(self) -> DataFrame:
         return rd.csv_table(self.spark, f"{self.data}/train_labels.csv", schemas.LABELS)
 
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A table under `out`, made by the first job that needs it and read by the others."""
+        if not wr.exists(self.spark, self.path(name)):
+            self.write(make(), name)
+        return self.read(name)
+
     def train(self) -> DataFrame:
-        return keep_devices(rd.csv_events(self.spark, f"{self.data}/train.csv"), self.labels())
+        """Events of labelled devices: the text file is read once, for whatever job is the first."""
+
+        def make() -> DataFrame:
+            return keep_devices(rd.csv_events(self.spark, f"{self.data}/train.csv"), self.labels())
+
+        return self.once("train_events", make)
 
     def test(self) -> DataFrame:
-        return rd.csv_events(self.spark, f"{self.data}/test.csv")
+        return self.once("test_events", lambda: rd.csv_events(self.spark, f"{self.data}/test.csv"))
 
     def specs(self) -> DataFrame:
         return rd.csv_table(self.spark, f"{self.data}/specs.csv", schemas.SPECS)
 
+    def words(self) -> dict[str, list]:
+        """Values of the training events that become columns, found in one pass."""
+        columns = ("title", "type", "world", "event_code", "event_id")
+        row = self.once(
+            "vocabulary", lambda: self.train().agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns])
+        ).first()
+        return {c: list(row[c]) for c in columns}
+
+    def props(self) -> dict:
+        """Declared properties by event: what `describe-specs` found, else the known ones."""
+        if not wr.exists(self.spark, self.path("event_props")):
+            return EVENT_PROPS
+        return rd.props_by_event(rd.property_lists(self.spark, self.path("event_props")))
+
     def write(self, df: DataFrame, name: str) -> None:
         wr.table(df, self.path(name))
 
@@ -62,42 +99,41 @@ class Files:
         return self.spark.read.parquet(self.path(name))
 
 
-def vocabulary(df: DataFrame) -> dict[str, list]:
-    return {c: distinct_values(df, c) for c in ("title", "type", "world")}
+def vocabulary(files: Files) -> dict[str, list]:
+    words = files.words()
+    return {c: words[c] for c in ("title", "type", "world")}
 
 
 def prepare_events(files: Files) -> None:
     """Flagged events without payload, payload sums per session, codes both sets share."""
-    train, test = files.train(), files.test()
+    train, test, props = files.train(), files.test(), files.props()
     files.write(common_codes(train, test), "event_codes")
     for name, events in (("train", train), ("test", test)):
         files.write(flag_attempts(events, "text").drop("event_data"), name)
-        files.write(session_props(events), f"{name}_session_props")
+        files.write(session_props(events, props), f"{name}_session_props")
 
 
 def prepare_sessions(files: Files) -> None:
     """Session tables with code and id counts, and the assessments to predict."""
-    train, test = files.train(), files.test()
-    codes = distinct_values(train, "event_code")
-    seen = set(distinct_values(counted_events(train), "event_id"))
+    train, test, words = files.train(), files.test(), files.words()
+    seen = set(words["event_id"])
     ids = [e for e in COUNTED_EVENT_IDS if e in seen]
-    files.write(sessions_with_ids(train, codes, ids), "train_sessions")
-    files.write(sessions_with_ids(test, codes, ids), "test_sessions")
+    files.write(sessions_with_ids(train, words["event_code"], ids), "train_sessions")
+    files.write(sessions_with_ids(test, words["event_code"], ids), "test_sessions")
     files.write(last_per_device(test), "test_assessments")
 
 
 def prepare_sessions_with_props(files: Files) -> None:
     """Session tables with code counts and payload sums."""
-    train, test = files.train(), files.test()
-    codes = distinct_values(train, "event_code")
-    files.write(sessions_with_props(train, codes), "train_prop_sessions")
-    files.write(sessions_with_props(test, codes), "test_prop_sessions")
+    codes, props = files.words()["event_code"], files.props()
+    files.write(sessions_with_props(files.train(), codes, props), "train_prop_sessions")
+    files.write(sessions_with_props(files.test(), codes, props), "test_prop_sessions")
 
 
 def features(files: Files) -> None:
     """Session-level features; training features that are already there are kept."""
     train, test, labels = files.read("train_sessions"), files.read("test_sessions"), files.labels()
-    words = vocabulary(train)
+    words = vocabulary(files)
     if not wr.exists(files.spark, files.path("train_features")):
         targets = fe.train_targets(labels, train, session_starts(train))
         files.write(fe.session_features(train, targets, words), "train_features")
@@ -107,15 +143,15 @@ def features(files: Files) -> None:
 
 def event_features(files: Files) -> None:
     """Event-level features."""
-    train, test, labels = files.train(), files.test(), files.labels()
-    codes, words = distinct_values(train, "event_code"), vocabulary(train)
-    make = fe.features_from_events(train, labels, codes, words, EVENT_PROPS)
+    labels, props = files.labels(), files.props()
+    codes, words = files.words()["event_code"], vocabulary(files)
+    make = fe.features_from_events(files.train(), labels, codes, words, props)
     files.write(make, "train_event_features")
-    make = fe.test_features_from_events(test, labels, codes, words, EVENT_PROPS)
+    make = fe.test_features_from_events(files.test(), labels, codes, words, props)
     files.write(make, "test_event_features")
 
 
-def predict(files: Files, folds: int = 5, rounds: int = 100) -> DataFrame:
+def predict(files: Files, folds: int = 5, rounds: int = mo.ROUNDS) -> DataFrame:
     """Two models per fold, the rule, and the majority vote; returns the mean kappa."""
     tables = files.read("train_features"), files.read("test_features")
     train, test, _ = pr.matrices(*tables, files.labels())
@@ -142,7 +178,7 @@ def group_matrices(files: Files) -> tuple[DataFrame, DataFrame, list[str]]:
     return pr.matrices(*tables, files.labels(), without=without)
 
 
-def predict_groups(files: Files, folds: int = 10, trees: int = 100) -> DataFrame:
+def predict_groups(files: Files, folds: int = 10, trees: int = mo.TREES) -> DataFrame:
     """The four-class model: mean-probability vote and importances; returns the mean kappa."""
     train, test, columns = group_matrices(files)
     scores, votes, weights = pr.group_model_run(train, test, columns, folds, trees)
@@ -151,14 +187,59 @@ def predict_groups(files: Files, folds: int = 10, trees: int = 100) -> DataFrame
     return scores.agg(F.avg("kappa").alias("mean_score"))
 
 
-def tune(files: Files, draws: int = 160, folds: int = 5, rounds: int = 100) -> None:
-    """Search the settings of the three models; every trial is appended to its log."""
+def _left(files: Files, log: str, points: list[Settings]) -> list[Settings]:
+    """The points that a log does not have yet."""
+    if not wr.exists(files.spark, files.path(log)):
+        return points
+    logged = [row["params"] for row in rd.tuning_log(files.spark, files.path(log)).collect()]
+    return [p for p in points if {k: float(v) for k, v in p.items()} not in logged]
+
+
+def best_trials(files: Files) -> DataFrame:
+    """The best trial of every search that has a log."""
+    logs = [n for n in LOGS if wr.exists(files.spark, files.path(n))]
+    found = [
+        best_trial(rd.tuning_log(files.spark, files.path(n))).select(F.lit(n).alias("log"), "target", "params")
+        for n in logs
+    ]
+    if not found:
+        raise ValueError("no search has been run yet")
+    return reduce(DataFrame.unionByName, found)
+
+
+def tune(files: Files, draws: int = 160, folds: int = 5, rounds: int = mo.ROUNDS, trees: int = mo.TREES) -> DataFrame:
+    """Search the settings of the three models; returns the best trials.
+
+    Every trial is appended to its log when it ends, so a second run goes on where the first
+    ended and adds no trial twice.
+    """
     tables = files.read("train_features"), files.read("test_features")
     train, _, _ = pr.matrices(*tables, files.labels())
+    nested = pr.nested_rows(train, folds)
     for target, probes in PROBES.items():
-        for point in candidates(BOUNDS, draws, probes):
-            trial = pr.tune(train, target, [point], folds, rounds)
-            wr.tuning_log(trial, files.path(f"tuning_{target}"))
+        log = f"tuning_{target}"
+        for point in _left(files, log, candidates(BOUNDS, draws, probes)):
+            wr.tuning_log(pr.tune(nested, target, [point], folds, rounds, trees), files.path(log))
+    return best_trials(files)
+
+
+def tune_groups(files: Files, draws: int = 130, trees: int = mo.TREES) -> DataFrame:
+    """Search the settings of the four-class model on event-level features, as `tune` does."""
+    train, _, _ = group_matrices(files)
+    points = candidates(GROUP_BOUNDS, draws, whole=truncated_settings)
+    placed = pr.folds_by_number(train, (int(p["n_splits"]) for p in points))
+    for point in _left(files, "tuning_groups", points):
+        wr.tuning_log(pr.tune_group_model(placed, [point], trees), files.path("tuning_groups"))
+    return best_trials(files)
+
+
+def rank_log(files: Files) -> DataFrame:
+    """Every log with its best trial first; returns the best trials."""
+    best = best_trials(files)
+    for name in LOGS:
+        if wr.exists(files.spark, files.path(name)):
+            files.write(ranked_trials(rd.tuning_log(files.spark, files.path(name))), f"ranked_{name}")
+    return best
 
 
 def describe_specs(files: Files) -> None:
@@ -177,5 +258,7 @@ JOBS: dict[str, Callable[[Files], DataFrame | None]] = {
     "prune-list": prune_list,
     "predict-groups": predict_groups,
     "tune": tune,
+    "tune-groups": tune_groups,
+    "rank-log": rank_log,
     "describe-specs": describe_specs,
 }

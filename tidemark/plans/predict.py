@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -48,9 +48,9 @@ def _marked(train: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def _two_models(train, held, correct_settings, uncorrect_settings, rounds):
-    rows = _marked(train, held)
-    correct = mo.correct_model("num_correct", correct_settings, rounds, "check").fit(rows)
-    uncorrect = mo.uncorrect_model("num_incorrect", uncorrect_settings, rounds, "check").fit(rows)
+    rows, widest = _marked(train, held), mo.categories(train)
+    correct = mo.correct_model("num_correct", correct_settings, rounds, "check", widest).fit(rows)
+    uncorrect = mo.uncorrect_model("num_incorrect", uncorrect_settings, rounds, "check", widest).fit(rows)
 
     def score(df: DataFrame) -> DataFrame:
         first = mo.probabilities(correct.transform(df)).select(
@@ -70,7 +70,7 @@ def out_of_fold(
     train: DataFrame,
     test: DataFrame,
     folds: int = 5,
-    rounds: int = 100,
+    rounds: int = mo.ROUNDS,
     correct_settings: Mapping[str, float] = mo.CORRECT_SETTINGS,
     uncorrect_settings: Mapping[str, float] = mo.UNCORRECT_SETTINGS,
 ) -> tuple[DataFrame, DataFrame]:
@@ -101,7 +101,7 @@ def group_model_run(
     test: DataFrame,
     columns: Sequence[str],
     folds: int = 10,
-    trees: int = 100,
+    trees: int = mo.TREES,
     settings: Mapping[str, float] = mo.GROUP_SETTINGS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The single four-class model: kappa per fold, test predictions, mean importances."""
@@ -109,7 +109,7 @@ def group_model_run(
     held_out, tests, weights = [], [], []
     for fold in range(folds):
         rest, held = split(placed, fold)
-        model = mo.group_model("accuracy_group", settings, trees).fit(rest)
+        model = mo.group_model("accuracy_group", settings, trees, mo.categories(rest)).fit(rest)
         held_out.append(
             mo.probabilities(model.transform(held)).select(
                 "fold", "accuracy_group", metrics.argmax(F.col("probability")).alias("prediction")
@@ -136,52 +136,72 @@ def group_model_run(
 Fit = Callable[[DataFrame, DataFrame], Callable[[DataFrame], float]]
 
 
-def fit_for(target: str, settings: Settings, rounds: int) -> Fit:
-    """How one trial is fitted and scored; larger is better for every target."""
+def fit_for(target: str, settings: Settings, rounds: int = mo.ROUNDS, trees: int = mo.TREES) -> Fit:
+    """How one trial is fitted and scored; larger is better for every target.
+
+    A score that is undefined, where the scored rows have one label only, is an error.
+    """
 
     def fit(train: DataFrame, stop: DataFrame) -> Callable[[DataFrame], float]:
-        rows = _marked(train, stop)
+        rows, widest = _marked(train, stop), mo.categories(train)
         if target == "num_correct":
-            model = mo.correct_model(target, settings, rounds, "check").fit(rows)
+            model = mo.correct_model(target, settings, rounds, "check", widest).fit(rows)
         elif target == "num_incorrect":
-            model = mo.uncorrect_model(target, settings, rounds, "check").fit(rows)
+            model = mo.uncorrect_model(target, settings, rounds, "check", widest).fit(rows)
         else:
-            model = mo.group_model(target, settings, rounds).fit(train)
+            model = mo.group_model(target, settings, trees, widest).fit(train)
 
         def score(df: DataFrame) -> float:
             scored = model.transform(df)
             if target == "num_correct":
                 value = metrics.area_under_roc(scored, target, "prediction").first()["auc"]
             elif target == "num_incorrect":
-                value = -metrics.root_mean_square_error(scored, target, "prediction").first()["rmse"]
+                value = metrics.root_mean_square_error(scored, target, "prediction").first()["rmse"]
             else:
                 value = mo.KappaEvaluator(target).evaluate(scored)
-            return 0.0 if value is None else value
+            if value is None:
+                raise ValueError(f"the score of {target} is undefined: the rows have one label only")
+            return -value if target == "num_incorrect" else value
 
         return score
 
     return fit
 
 
+def nested_rows(train: DataFrame, folds: int = 5) -> DataFrame:
+    """Training rows with their nested folds, made once for all trials of a search."""
+    return stage(with_nested_folds(train, folds), "nested")
+
+
 def tune(
-    train: DataFrame, target: str, points: Sequence[Settings], folds: int = 5, rounds: int = 100
+    nested: DataFrame,
+    target: str,
+    points: Sequence[Settings],
+    folds: int = 5,
+    rounds: int = mo.ROUNDS,
+    trees: int = mo.TREES,
 ) -> DataFrame:
-    """Every point's nested cross-validation score, as a trial table."""
-    placed = stage(with_nested_folds(train, folds), "nested")
-    trials = [(p, nested_score(placed, fit_for(target, p, rounds), folds)) for p in points]
-    return trial_table(train.sparkSession, trials)
+    """Every point's cross-validation score over `nested_rows`, as a trial table."""
+    fits = [(p, fit_for(target, p, rounds, trees)) for p in points]
+    return trial_table(nested.sparkSession, [(p, nested_score(nested, f, folds)) for p, f in fits])
 
 
-def tune_group_model(train: DataFrame, points: Sequence[Settings], trees: int = 100) -> DataFrame:
+def folds_by_number(train: DataFrame, numbers: Iterable[int]) -> dict[int, DataFrame]:
+    """Training rows in device folds, made once for each number of folds."""
+    return {n: stage(with_fold(train, group_folds(train, n)), "placed") for n in sorted(set(numbers))}
+
+
+def tune_group_model(
+    placed: Mapping[int, DataFrame], points: Sequence[Settings], trees: int = mo.TREES
+) -> DataFrame:
     """Every point's mean kappa over device folds; a point's n_splits is the number of folds."""
     trials = []
     for point in points:
         folds = int(point["n_splits"])
-        placed = stage(with_fold(train, group_folds(train, folds)), "placed")
         scores = []
         for fold in range(folds):
-            rest, held = split(placed, fold)
-            model = mo.group_model("accuracy_group", point, trees).fit(rest)
+            rest, held = split(placed[folds], fold)
+            model = mo.group_model("accuracy_group", point, trees, mo.categories(rest)).fit(rest)
             scores.append(mo.KappaEvaluator("accuracy_group").evaluate(model.transform(held)))
         trials.append((point, scores))
-    return trial_table(train.sparkSession, trials)
+    return trial_table(next(iter(placed.values())).sparkSession, trials)

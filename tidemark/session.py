@@ -18,6 +18,7 @@ SETTINGS = {
 
 # A join side of at most this many bytes is broadcast; a larger one is shuffled.
 BROADCAST_BYTES = 16 << 20
+_FILES_A_CORE = 4
 
 
 def build_session(
@@ -59,9 +60,12 @@ def _files(spark: SparkSession, path: str):
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate table once and read it back, so that it has no lineage."""
+    """Write an intermediate table once and read it back, so that it has no lineage.
+
+    It gets a few files for each core and no more, as small files cost a write and a read each.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.coalesce(_FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism).write.parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._staged_at = path
     return staged

@@ -94,10 +94,16 @@ def event_props(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def property_lists(spark: SparkSession, path: str) -> DataFrame:
+    """The same from a table of event ids with their lists, as `writers.config` writes it."""
+    lists = spark.read.schema("event_id string, props array<string>").json(path)
+    return lists.select("event_id", F.explode("props").alias("prop"))
+
+
 def props_by_event(props: DataFrame) -> dict[str, tuple[str, ...]]:
     """The property table as a setting for the session aggregates, one column per row."""
     found: dict[str, list[str]] = {}
-    for row in sorted(props.collect()):
+    for row in sorted(props.distinct().collect()):
         found.setdefault(row["event_id"], []).append(row["prop"])
     return {event_id: tuple(names) for event_id, names in found.items()}
 
