@@ -59,10 +59,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return decode(encode(documents(spark, sf_dir), ranks), ranks).select(
+    written = decode(encode(documents(spark, sf_dir), ranks), ranks).withColumn("listed", F.to_json("ids"))
+    return written.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        # what stands between the brackets
+        F.sha2(F.expr("substr(listed, 2, length(listed) - 2)").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
