@@ -19,6 +19,7 @@ SETTINGS = {
 # A join side of at most this many bytes is broadcast; a larger one is shuffled.
 BROADCAST_BYTES = 16 << 20
 _FILES_A_CORE = 4
+_FILE_BYTES = 64 << 20
 
 
 def build_session(
@@ -59,13 +60,19 @@ def _files(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate table once and read it back, so that it has no lineage.
+def few_files(df: DataFrame) -> DataFrame:
+    """`df` in no more partitions than a few for each core, or one for each 64 MB that it reads:
+    small files cost a write and a read each, and more so the larger the cluster."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(min(max(_FILES_A_CORE * cores, -(-read // _FILE_BYTES)), 1 << 30))
+
 
-    It gets a few files for each core and no more, as small files cost a write and a read each.
-    """
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table once and read it back, so that it has no lineage."""
     path = scratch_path(df.sparkSession, label)
-    df.coalesce(_FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism).write.parquet(path)
+    few_files(df).write.parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._staged_at = path
     return staged
