@@ -18,6 +18,7 @@ from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import cut_repeats
 from tidemark.llm.topk import top_k
 from tidemark.llm.toxicity import fit, held_out, score
+from tidemark.session import few_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,9 +42,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_backoff")
 def op1_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scores(documents(spark, sf_dir), order=3, backoff=0.4, least=2).withColumn(
-        "mean_score", F.expr("score / nullif(n_words, 0)")
-    )
+    found = scores(documents(spark, sf_dir), order=3, backoff=0.4, least=2)
+    return few_files(found).withColumn("mean_score", F.expr("score / nullif(n_words, 0)"))
 
 
 @query("op2_simhash")
@@ -59,7 +59,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    written = decode(encode(documents(spark, sf_dir), ranks), ranks).withColumn("listed", F.to_json("ids"))
+    written = few_files(decode(encode(documents(spark, sf_dir), ranks), ranks)).withColumn("listed", F.to_json("ids"))
     return written.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -169,7 +169,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_repeats(documents(spark, sf_dir), window=50).select(
+    return few_files(cut_repeats(documents(spark, sf_dir), window=50)).select(
         "doc_id",
         "cut.n_words",
         "cut.n_removed",

@@ -21,9 +21,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
 from tidemark.session import stage
 
-_WORDS = 1 << 18  # hashes of words that a task keeps at hand
+_WORDS = 1 << 17  # hashes of words that a task keeps at hand
 _SEGMENT = "doc_id long, text_key long, first int, runs int, anchor long, span long"
 _RUN = "doc_id long, text_key long, first int, anchor long, run long"
 
@@ -155,7 +156,7 @@ def _single_runs(texts: DataFrame, window: int, anchor: int) -> DataFrame:
 
 def repeated_places(docs: DataFrame, window: int, anchor: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text_key, firsts, ends): the words to cut, as stretches in arrays per document."""
-    texts = docs.select(
+    texts = small_batches(docs).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         _text_key(text_col).alias("text_key"),
         F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"),
