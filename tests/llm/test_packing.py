@@ -66,6 +66,13 @@ def test_nulls_long_texts_and_clashing_names(spark, tokenizer):
     assert sum(r.length for r in twice) == 2 * len(ids_of(tokenizer, "same"))
 
 
+def test_sequences_of_partitions_stay_apart(spark, tokenizer):
+    texts = [f"text {i} " * (i % 7 + 1) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    rows = pack(docs, PATH, 64).coalesce(2).selectExpr("*", "crc32(ids) AS ids_crc32").collect()
+    assert check(rows, {i: ids_of(tokenizer, t) for i, t in enumerate(texts)}, 64) == 0
+
+
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
 

@@ -7,8 +7,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts_of
 from tidemark.llm.tokenizers_in_tasks import json_encoder, once, shipped
@@ -124,7 +124,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = once(content.value, json_encoder)
         packer, end = Packer(window), np.array([end_id], dtype=np.uint32)
-        sequence = TaskContext.get().partitionId() << _TASK_BITS
+        sequence = None
 
         def done() -> Iterator[pa.RecordBatch]:
             nonlocal sequence
@@ -144,11 +144,15 @@ def pack(
                 )
 
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if sequence is None and batch.num_rows:
+                sequence = batch.column(2)[0].as_py() << _TASK_BITS
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True):
                 packer.add(doc_id, np.concatenate((encode(text or ""), end)))
                 if len(packer.closed) >= 512:
                     yield from done()
         packer.finish()
         yield from done()
 
-    return texts_of(docs, id_col, text_col).mapInArrow(run, PIECE)
+    # the partition's own number, which stays when partitions are put together later
+    texts = texts_of(docs, id_col, text_col).withColumn("partition", F.spark_partition_id())
+    return texts.mapInArrow(run, PIECE)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, texts_of
+from tidemark.llm.common import map_batches, small_batches, texts_of
 from tidemark.session import stage
 
 #: Texts that the classifier is fitted on, at most about: confirmed toxic ones, and any ones.
@@ -239,7 +239,7 @@ def score(docs: DataFrame, model: Model | None, name: str = "score", text_col: s
     One pass without an exchange, a row in, a row out. A null or empty text, and one without any
     of the model's features, gets what the bias alone says; without a model all get 0.
     """
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    own = [F.col(f"`{c}`") for c in small_batches(docs).columns]
     if model is None:
         return docs.select(*own, F.lit(0.0).alias(name))
     scorer: list[_Scorer] = []
