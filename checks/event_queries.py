@@ -240,7 +240,8 @@ def event_code_counts(spark, sf_dir):
     f"WITH {t.EV} SELECT game_session{ID_COUNTS} FROM ev GROUP BY game_session",
 )
 def event_id_counts(spark, sf_dir):
-    return se.counts_by_value(t.telemetry(spark, sf_dir), "event_id", COUNTED_EVENT_IDS, id_column)
+    wanted = {"event_id": (COUNTED_EVENT_IDS, id_column)}
+    return se.counts_by_value(t.telemetry(spark, sf_dir), wanted)
 
 
 @query(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.fixed import COUNTED_EVENT_IDS, EVENT_PROPS
 from tidemark.functions.attempts import flags_from_json, flags_from_text, is_attempt, json_value
 from tidemark.functions.naming import code_column, literal, prop_column, quoted
-from tidemark.session import small_side, stage
+from tidemark.session import small_side
 
 
 def keep_devices(
@@ -23,8 +23,8 @@ def keep_devices(
     """Events of the listed devices; no list, or an empty one, keeps every event."""
     if devices is None:
         return events
-    ids = stage(devices.select(key).filter(F.col(key).isNotNull()).distinct(), "devices")
-    return events if ids.isEmpty() else events.join(small_side(ids), key, "left_semi")
+    ids = small_side(devices.select(key).filter(F.col(key).isNotNull()).distinct())
+    return events if ids.isEmpty() else events.join(ids, key, "left_semi")
 
 
 def flag_attempts(events: DataFrame, by: str = "json") -> DataFrame:

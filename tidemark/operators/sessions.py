@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -106,17 +106,21 @@ def gap_stats(events: DataFrame, key: str = KEY, value: str = "game_time") -> Da
     )
 
 
-def counts_by_value(events: DataFrame, column: str, values: Iterable[object], name) -> DataFrame:
-    """How often each listed value stands in each session, a column per value named by `name`.
+Counted = Mapping[str, tuple[Iterable[object], Callable[[object], str]]]
+
+
+def counts_by_value(events: DataFrame, wanted: Counted) -> DataFrame:
+    """How often listed values stand in each session: for each column of `wanted`, its values and
+    what names the column made of one.
 
     Rows are counted per (session, value) first, so an event is not compared with every value,
     and the counts are partitioned by session, as the session table is.
     """
-    values = list(values)
-    counted = events.filter(F.col(KEY).isNotNull()).groupBy(KEY).pivot(column, values).count()
-    columns = [
-        F.coalesce(F.col(quoted(str(v))), F.lit(0).cast("bigint")).alias(name(v)) for v in values
-    ]
+    named = [(f"{c}={v}", name(v)) for c, (values, name) in wanted.items() for v in values]
+    keys = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in wanted]
+    each = events.filter(F.col(KEY).isNotNull()).select(KEY, F.explode(F.array(*keys)).alias("value"))
+    counted = each.groupBy(KEY).pivot("value", [v for v, _ in named]).count()
+    columns = [F.coalesce(F.col(quoted(v)), F.lit(0).cast("bigint")).alias(c) for v, c in named]
     return counted.select(KEY, *columns)
 
 
@@ -126,9 +130,10 @@ def sessions_with_ids(
     """Session table with code and id counts and game-time gaps; events without a session are out."""
     events = events.filter(F.col(KEY).isNotNull())
     sessions = fold(flag_attempts(events, "json"), [F.max("game_time").alias("game_time")])
-    for column, values, name in (("event_code", codes, code_column), ("event_id", ids, id_column)):
-        if values:
-            sessions = sessions.join(counts_by_value(events, column, values, name), KEY)
+    counted = {"event_code": (codes, code_column), "event_id": (ids, id_column)}
+    counted = {c: (values, name) for c, (values, name) in counted.items() if values}
+    if counted:
+        sessions = sessions.join(counts_by_value(events, counted), KEY)
     order = [KEY, *FIRST_SEEN, "event_count", "correct_attempts", "uncorrect_attempts", "game_time"]
     counts = [c for c in sessions.columns if c not in order]
     sessions = sessions.select(*order, *[quoted(c) for c in counts])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,9 +85,9 @@ def release(*staged: DataFrame) -> None:
         files.delete(at, True)
 
 
-def table_bytes(df: DataFrame) -> int:
-    """About how many bytes the rows take in memory: texts and nested values by their length,
-    eight for any other value. One partial sum per task moves."""
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory: texts and nested values by their length, eight
+    for any other value."""
     width = F.lit(8)
     for field in df.schema:
         column, kind = F.col(f"`{field.name}`"), field.dataType
@@ -97,11 +97,12 @@ def table_bytes(df: DataFrame) -> int:
             width = width + 8 + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
         else:
             width = width + 8
-    return df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return width.cast("long")
 
 
 def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """A join side, computed once: broadcast if it has at most `most` bytes, else left to the
-    shuffle join."""
-    side = df if hasattr(df, "_staged_at") else stage(df, "side")
-    return F.broadcast(side) if table_bytes(side) <= most else side
+    """A join side, computed once and measured on the way: broadcast if its rows take at most
+    `most` bytes, else left to the shuffle join."""
+    seen = Observation()
+    side = stage(df.observe(seen, F.sum(row_bytes(df)).alias("bytes")), "side")
+    return F.broadcast(side) if (seen.get["bytes"] or 0) <= most else side

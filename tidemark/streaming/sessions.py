@@ -40,11 +40,9 @@ def fold_part(events: DataFrame, codes: Iterable[object] = (), ids: Iterable[str
             F.count("*").alias("n_events"),
         )
     )
-    for column, values, name in (("event_code", codes, code_column), ("event_id", ids, id_column)):
-        values = list(values)
-        if values:
-            part = part.join(counts_by_value(events, column, values, name), KEY)
-    return part
+    counted = {"event_code": (list(codes), code_column), "event_id": (list(ids), id_column)}
+    counted = {c: (values, name) for c, (values, name) in counted.items() if values}
+    return part.join(counts_by_value(events, counted), KEY) if counted else part
 
 
 def merge_parts(parts: DataFrame) -> DataFrame:
