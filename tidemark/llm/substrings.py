@@ -189,8 +189,13 @@ def repeated_places(docs: DataFrame, window: int, anchor: int, id_col: str, text
     # repeated rows of one document give its runs once
     again = texts.join(extended, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "firsts", "counts")
     singles = stage(_single_runs(again, window, anchor), "runs")
-    first_of_run = singles.groupBy("anchor", "run").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc")
-    cut = singles.join(first_of_run, ["anchor", "run"]).where("doc_id > first_doc")
+    first_of_run = (
+        singles.groupBy("anchor", "run")
+        .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+        .where("first_doc < last_doc")
+    )
+    # a written side: a join straight on an aggregate is not split where a run is very common
+    cut = singles.join(stage(first_of_run, "shared-runs"), ["anchor", "run"]).where("doc_id > first_doc")
     return (
         whole.union(cut.select("doc_id", "text_key", "first", F.lit(1).alias("runs")))
         .groupBy("doc_id", "text_key")
