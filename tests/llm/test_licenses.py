@@ -97,3 +97,58 @@ def test_suppression_matches_brute_force():
 
 def test_empty_table(spark):
     assert scan_licenses(frame(spark, [])).collect() == []
+
+
+def strings_of(parsed):
+    """Every string that a parsed pattern matches; any one for what is not a space."""
+    found = [""]
+    for kind, arg in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            each = [chr(arg)]
+        elif kind == "IN" and str(arg[0][0]) == "CATEGORY":
+            each = ["x"]
+        elif kind == "IN":
+            each = [chr(c) for k, a in arg for c in ([a] if str(k) == "LITERAL" else [a[0]])]
+        elif kind == "SUBPATTERN":
+            each = strings_of(arg[-1])
+        elif kind == "BRANCH":
+            each = [s for branch in arg[1] for s in strings_of(branch)]
+        else:
+            assert kind == "MAX_REPEAT", kind
+            each = ([""] if arg[0] == 0 else []) + strings_of(arg[2])
+        found = [a + b for a in found for b in each]
+    return found
+
+
+def test_each_rule_is_found_in_all_that_its_pattern_matches():
+    for rule in rules():
+        scanner = Scanner([rule])
+        for phrase in strings_of(re._parser.parse(rule.pattern)):
+            assert re.fullmatch(rule.pattern, phrase)
+            _, places = scanner.scan(f"so {phrase} so".encode())
+            assert any(p["first_word"] == 1 for p in places), (rule.name, phrase)
+
+
+def test_versions_however_they_are_announced():
+    names = {
+        "GPL {}2 or later": "gpl-2.0",
+        "LGPL {}2.1": "lgpl-2.1",
+        "AGPL {}3": "agpl-3.0",
+        "MPL {}2.0": "mpl-2.0",
+        "EUPL {}1.2": "eupl",
+        "CDDL {}1.0": "cddl",
+        "Apache License {}2.0": "apache-2.0",
+        "Apache {}2.0 license": "apache-2.0",
+        "GNU General Public License, {}3": "gpl-3.0",
+        "Mozilla Public License {}2.0": "mpl-2.0",
+        "Mulan PSL {}2": "mulan-2.0",
+        "CC BY {}4.0": "cc-by-4.0",
+    }
+    scanner = Scanner(rules())
+    for name, label in names.items():
+        for how in ("", "v", "v. ", "version ", "ver. ", "Version v"):
+            _, places = scanner.scan(f"Under the {name.format(how)}, as is".encode())
+            assert label in {p["label"] for p in places if p["kept"]}, (name, how)
+    for text, label in (("FreeBSD license", "bsd-2-clause"), ("LGPLv2.1", "lgpl-2.1"), ("LGPLv3", "lgpl-3.0")):
+        assert [p["label"] for p in scanner.scan(text.encode())[1] if p["kept"]] == [label]
