@@ -109,6 +109,18 @@ def test_nulls_copies_and_clashing_names(spark):
     assert sorted(left, key=lambda x: (x is None, x)) == sorted({1, 3, 5} | (set() if near else {9})) + [None]
 
 
+def test_one_doc_id_with_texts_of_several_groups(spark):
+    other, third = (" ".join(f"{w}{i}" for i in range(400)) for w in ("other", "third"))
+    rows = [
+        (1, BASE, "a"), (1, other, "b"), (5, BASE, "c"),  # two groups named by one id
+        (2, third, "d"), (6, third, "e"), (6, "alone here now", "f"), (6, "alone here now", "g"),  # one copy, one of its own
+        (None, "unnamed text only", "h"), (None, "unnamed text only", "h"), (None, third, "i"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _llm string")
+    got = sorted((r.doc_id or 0, r.text) for r in keep_one(docs).collect())
+    assert got == sorted([(1, BASE), (1, other), (2, third), (6, "alone here now"), (0, "unnamed text only")])
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(docs).collect() == [] and keep_one(docs).collect() == []

@@ -207,32 +207,37 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of `docs` with the smallest doc_id of their group, all columns kept.
+    """One row of `docs` for each group, that with the group's smallest doc_id, all columns kept.
 
-    Of several rows with that doc_id one stays. Rows without a doc_id stay only if no row of their
-    group has one, and then one of them does.
+    Rows are told by doc_id and fingerprint: texts of several groups under one doc_id are each
+    judged in their own group. Of a group's rows with its smallest doc_id, one with the smallest
+    fingerprint stays. Rows without a doc_id stay only if no row of their group has one, and then
+    one of them does.
     """
     id_col, text_col = settings.get("id_col", "doc_id"), settings.get("text_col", "text")
     groups = stage(near_duplicates(docs, **settings), "near-duplicates")
     own_id = F.col(f"`{id_col}`").cast("long")
-    firsts = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_llm_id")).agg(F.count("*").alias("n"))
-    kept = docs.join(firsts.where("n = 1"), own_id == F.col("_llm_id"), "left_semi")
-    repeated = firsts.where("n > 1")
-    if not repeated.isEmpty():
-        kept = kept.union(docs.join(repeated, own_id == F.col("_llm_id"), "left_semi").dropDuplicates([id_col]))
-    unnamed = (
-        groups.where("component_id IS NULL")
-        .select(F.col("fingerprint").alias("_llm_print"), F.col("group_id").alias("_llm_group"))
-        .distinct()
+    firsts = (
+        groups.where("component_id IS NULL OR doc_id = component_id")
+        .groupBy(F.col("group_id").alias("_llm_group"))
+        .agg(F.min("component_id").alias("_llm_id"), F.min("fingerprint").alias("_llm_print"))
     )
-    if not unnamed.isEmpty():
+    rows = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg((F.count("*") == 1).alias("_llm_alone"))
+    firsts = stage(firsts.join(rows, F.col("_llm_id") == F.col("doc_id"), "left").drop("doc_id"), "firsts")
+    kept = docs.join(firsts.where("_llm_alone"), own_id == F.col("_llm_id"), "left_semi")
+    # only rows that their doc_id does not tell need their fingerprint again
+    several = firsts.where("_llm_alone IS NULL OR NOT _llm_alone").drop("_llm_alone")
+    if not several.isEmpty():
         shingle = settings.get("shingle", 3)
 
         @F.pandas_udf("long")
         def printed(texts: pd.Series) -> pd.Series:
             return pd.Series([_signed(fingerprint((t or "").encode(), shingle)) for t in texts])
 
-        bare = docs.where(own_id.isNull()).withColumn("_llm_print", printed(F.col(f"`{text_col}`")))
-        one = bare.join(unnamed, "_llm_print").dropDuplicates(["_llm_group"])
-        kept = kept.union(one.select(*[F.col(f"`{c}`") for c in docs.columns]))
+        own = [F.col(f"`{c}`") for c in docs.columns]
+        ids = several.where("_llm_id IS NOT NULL").select(F.col("_llm_id").alias("_llm_own")).distinct()
+        told = docs.where(own_id.isNull()).union(docs.join(ids, own_id == F.col("_llm_own"), "left_semi"))
+        told = told.select(*own, own_id.alias("_llm_own"), printed(F.col(f"`{text_col}`")).alias("_llm_own_print"))
+        same = F.col("_llm_own").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_own_print") == F.col("_llm_print"))
+        kept = kept.union(told.join(several, same).dropDuplicates(["_llm_group"]).select(*own))
     return kept
