@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from checks.compare import connect, rows
+from tidemark.llm import substrings
 from tidemark.llm.queries import ORACLES, QUERIES
 from tidemark.llm.substrings import _Runs, cut_repeats
 
@@ -76,5 +77,27 @@ def test_equal_runs_have_equal_anchors():
     assert np.array_equal(a[3:14], b[17:28])
 
 
+def test_copies_of_a_row_are_worked_on_once(spark, monkeypatch):
+    shared = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, f"a {shared} b")] + [(2, f"c {shared} d {shared[:40]}")] * 40 + [(2, f"other {shared} text"), (3, shared)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+
+    def watched(work):
+        def run(texts, *rest):
+            listed = [c for c in ("firsts", "counts") if c in texts.columns]
+            seen.extend((work.__name__, r.doc_id, r.text_key, *(len(r[c]) for c in listed)) for r in texts.drop("text").collect())
+            return work(texts, *rest)
+
+        return run
+
+    for name in ("_segments", "_single_runs"):
+        monkeypatch.setattr(substrings, name, watched(getattr(substrings, name)))
+    got = cut_repeats(docs, 10, 3).collect()
+    assert sorted((r.doc_id, *r.cut) for r in got) == sorted(brute(rows, 10))
+    assert {s[0] for s in seen} == {"_segments", "_single_runs"}
+    assert len(seen) == len({s[:3] for s in seen}) and max(s[-1] for s in seen if s[0] == "_single_runs") <= 30
+
+
 def test_empty_table(spark):
     assert cut_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []

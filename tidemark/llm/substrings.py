@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches
-from tidemark.session import stage
+from tidemark.session import small_side, stage
 
 _WORDS = 1 << 17  # hashes of words that a task keeps at hand
 _SEGMENT = "doc_id long, text_key long, first int, runs int, anchor long, span long"
@@ -154,6 +154,17 @@ def _single_runs(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     return texts.mapInArrow(run, _RUN)
 
 
+def _each_once(texts: DataFrame) -> DataFrame:
+    """Rows that share doc_id and text_key once; only rows that repeat are moved for it."""
+    same = ["doc_id", "text_key"]
+    found = texts.groupBy(*same).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    repeated = small_side(found)
+    if repeated.isEmpty():
+        return texts
+    once = texts.join(repeated, same, "left_semi").groupBy(*same).agg(F.min("text").alias("text"))
+    return texts.join(repeated, same, "left_anti").union(stage(once, "once"))
+
+
 def repeated_places(docs: DataFrame, window: int, anchor: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text_key, firsts, ends): the words to cut, as stretches in arrays per document."""
     texts = small_batches(docs).select(
@@ -161,6 +172,8 @@ def repeated_places(docs: DataFrame, window: int, anchor: int, id_col: str, text
         _text_key(text_col).alias("text_key"),
         F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"),
     ).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    # copies of a row do not cut each other, so one stands for all
+    texts = _each_once(texts)
     segments = stage(_segments(texts, window, anchor), "segments")
     shared = (
         segments.groupBy("anchor")
@@ -186,7 +199,6 @@ def repeated_places(docs: DataFrame, window: int, anchor: int, id_col: str, text
         .agg(F.collect_list(F.struct("first", "runs")).alias("s"))
         .select("doc_id", "text_key", F.col("s.first").alias("firsts"), F.col("s.runs").alias("counts"))
     )
-    # repeated rows of one document give its runs once
     again = texts.join(extended, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "firsts", "counts")
     singles = stage(_single_runs(again, window, anchor), "runs")
     first_of_run = (
