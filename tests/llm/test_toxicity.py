@@ -2,9 +2,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.llm import toxicity
 from tidemark.llm.queries import QUERIES
-from tidemark.llm.toxicity import _learn, fit, score
+from tidemark.llm.toxicity import _learn, fit, held_out, score
 
 
 def auc(scores, labels):
@@ -64,6 +66,33 @@ def test_nulls_empty_texts_and_clashing_names(spark):
     assert min(by[3][0], by[None][0], by[502][0]) > 0.5 > max(by[4][0], by[500][0], by[501][0])
 
 
+def test_one_or_two_examples_give_a_model(spark):
+    rows = [(i, f"clean words here number{i % 7}", "s") for i in range(100)]
+    rows += [(i, f"nasty vile words here number{i % 7}", "s") for i in range(100, 140)]
+    docs = frame(spark, rows)
+    inside = [r.doc_id for r in docs.where("doc_id >= 100").where(~held_out(F.col("doc_id"))).orderBy("doc_id").collect()]
+    clean = [r.doc_id for r in docs.where("doc_id < 100").where(~held_out(F.col("doc_id"))).orderBy("doc_id").collect()]
+    for n in (1, 2):
+        known = [(i, 1) for i in inside[:n]] + [(i, 0) for i in clean[: 3 * n]]
+        model = fit(docs, spark.createDataFrame(known, "doc_id long, toxic int"))
+        assert model is not None and {"nasty", "vile"} <= set(model.names)
+        got = {r.doc_id: r.t for r in score(docs, model, "t").collect()}
+        assert min(got[i] for i in range(100, 140)) > max(got[i] for i in range(100))
+
+
+def test_features_are_counted_over_all_unlabelled_texts(spark, monkeypatch):
+    rows = [(i, "nasty plain" if i % 10 == 0 else "plain words", "s") for i in range(200)]
+    docs = frame(spark, rows + [(10, "nasty again", "s")] * 50)
+    known = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(200)], "doc_id long, toxic int")
+    counted, learnt = [], []
+    choose, learn = toxicity._choose, toxicity._learn
+    monkeypatch.setattr(toxicity, "_choose", lambda sample, texts, n: counted.append(texts.count()) or choose(sample, texts, n))
+    monkeypatch.setattr(toxicity, "_learn", lambda names, rows, *rest: learnt.append(len(rows)) or learn(names, rows, *rest))
+    assert fit(docs, known, positive=8, unlabelled=5) is not None
+    assert counted == [docs.where(~held_out(F.col("doc_id"))).count()]
+    assert 8 <= learnt[0] <= 13  # a row an id, however often it repeats
+
+
 def test_without_examples_or_rows(spark):
     docs, none = frame(spark, [(1, "a", "s")]), spark.createDataFrame([], "doc_id long, toxic int")
     assert fit(docs, none) is None and score(docs, None, "t").first().t == 0.0

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ POSITIVE, UNLABELLED = 4096, 8192
 #: Words and stems that it may look at, at most.
 FEATURES = 4096
 _STEMS = (4, 5, 6)
-_GAIN = 4.0
+_HALF = 4.0  # the gain of a feature whose weight counts half; the best gain, if that is less
+_COUNTED = 1 << 17  # features that a task counts before it sends them on
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE = 1 << 18
 
@@ -74,8 +77,10 @@ def fit(
 
     Labels are read only where `held_out` is false: the confirmed toxic ids, of which at most
     `positive` are used, and the share of toxic ones among labelled rows, the class prior. The
-    unlabelled texts, at most `unlabelled`, are drawn from the same part whatever their labels.
-    Both draws and the features are bounded by parameters, so the driver's work is too.
+    unlabelled texts are those of the same part whatever their labels. How often a feature stands
+    in them is counted over all; the steps see a draw of at most `unlabelled`. Of rows that share
+    a drawn id one is used. Both draws and the features are bounded by parameters, so the driver's
+    work is too.
     """
     texts = texts_of(docs, id_col, text_col).where(~held_out(F.col("doc_id")))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
@@ -92,43 +97,66 @@ def fit(
         .groupBy("doc_id")
         .agg(F.max("p").alias("is_p"), (F.min("p") == 0).alias("is_u"))
     )
-    # at most positive + unlabelled ids
-    sample = stage(texts.join(F.broadcast(wanted), "doc_id").select("text", "is_p", "is_u"), "sample")
-    names = _choose(sample, features)
-    if not names:
+    # at most positive + unlabelled rows: of an id that repeats, the smallest text
+    sample = stage(
+        texts.join(F.broadcast(wanted), "doc_id")
+        .groupBy("doc_id", "is_p", "is_u")
+        .agg(F.min("text").alias("text"))
+        .select("text", "is_p", "is_u"),
+        "sample",
+    )
+    chosen = _choose(sample, texts, features)
+    if not chosen:
         return None
+    names = tuple(chosen)
     rows = _encode(sample, names).collect()
-    return _learn(names, rows, min(float(prior), 0.999))
-
-
-def _choose(sample: DataFrame, features: int) -> tuple[str, ...]:
-    """The features that confirmed texts have far more often than any texts."""
-
-    def count(batch: dict[str, list]) -> dict[str, list]:
-        found = Counter(f for t in batch["text"] for f in _features(_words(t)))
-        return {"name": list(found), "n": list(found.values())}
-
-    def counted(texts: DataFrame, name: str) -> DataFrame:
-        each = map_batches(texts.select("text"), count, "name string, n long")
-        return each.groupBy("name").agg(F.sum("n").alias(name))
-
-    in_p, in_u = counted(sample.where("is_p = 1"), "n_p"), counted(sample.where("is_u"), "n_u")
-    size = sample.agg(F.sum("is_p").alias("p"), F.sum(F.col("is_u").cast("int")).alias("u")).first()
-    if not size.p or not size.u:
-        return ()
-    rate_p, rate_u = F.col("n_p") / size.p, (F.coalesce("n_u", F.lit(0)) + 0.5) / size.u
-    # in standard deviations of what confirmed texts would have, were they like any texts
-    gain = (rate_p - rate_u) / F.sqrt(rate_u / size.p)
+    return _learn(names, rows, min(float(prior), 0.999), np.array([chosen[n] for n in names]))
+
+
+def _counted(texts: DataFrame, name: str) -> DataFrame:
+    """(name, number of texts that have it) of every feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[str] = Counter()
+
+        def told() -> pa.RecordBatch:
+            columns = [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["name", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found.update(_features(_words(text)))
+                if len(found) >= _COUNTED:
+                    yield told()
+                    found.clear()
+        if found:
+            yield told()
+
+    each = texts.select("text").mapInArrow(run, "name string, n long")
+    return each.groupBy("name").agg(F.sum("n").alias(name))
+
+
+def _choose(sample: DataFrame, texts: DataFrame, features: int) -> dict[str, float]:
+    """The features that confirmed texts have more often than any texts, and how much the weight
+    of each counts, from 0 to 1: the more, the less it can be by chance. No number of texts is too
+    small for a feature; what stands in one or two counts little beside what stands in many."""
+    in_p, in_u = _counted(sample.where("is_p = 1"), "n_p"), _counted(texts, "n_u")
+    n_p, n_u = sample.where("is_p = 1").count(), texts.count()
+    if not n_p or not n_u:
+        return {}
+    # how many confirmed texts would have it, were they like any texts
+    expected = n_p * (F.coalesce("n_u", F.lit(0)) + 0.5) / n_u
     chosen = (
-        in_p.where("n_p >= 3")
-        .join(in_u, "name", "left")
-        .withColumn("gain", gain)
-        .where(F.col("gain") >= _GAIN)
+        in_p.join(in_u, "name", "left")
+        .withColumn("gain", (F.col("n_p") - expected) / F.sqrt(expected + 1))
+        .where("gain > 0 AND name NOT LIKE '#%'")
         .orderBy(F.desc("gain"), "name")
         .limit(features)
     )
-    names = sorted(r.name for r in chosen.select("name").collect() if not r.name.startswith("#"))
-    return (*names, *(f"#{n}" for n in range(33))) if names else ()
+    gains = {r.name: r.gain for r in chosen.select("name", "gain").collect()}
+    half = min(_HALF, max(gains.values(), default=_HALF))
+    counts = {n: gains[n] ** 4 / (gains[n] ** 4 + half**4) for n in sorted(gains)}
+    return {**counts, **{f"#{n}": 1.0 for n in range(33)}} if counts else {}
 
 
 def _encode(sample: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -164,21 +192,31 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _learn(names: tuple[str, ...], rows: list, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> Model:
+def _learn(
+    names: tuple[str, ...],
+    rows: list,
+    prior: float,
+    counts: np.ndarray | None = None,
+    steps: int = 400,
+    rate: float = 0.05,
+    decay: float = 1e-4,
+) -> Model:
     """Gradient steps (Adam) on the non-negative risk, with the logistic loss l:
 
     prior * E_p l(f) + max(0, E_u l(-f) - prior * E_p l(-f))
 
     The second part estimates the risk on clean texts from unlabelled ones, less what toxic ones
     among them must cause. Where it falls below zero, the step goes back up on it alone.
+    A feature's weight counts as much as `counts` says, all of it without.
     """
+    counts = np.ones(len(names)) if counts is None else counts
     p = _Rows([r.on for r in rows if r.is_p], len(names))
     u = _Rows([r.on for r in rows if r.is_u], len(names))
     weights, bias = np.zeros(len(names)), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     length = np.array([n.startswith("#") for n in names])
     for step in range(1, steps + 1):
-        at_p, at_u = p.scores(weights, bias), u.scores(weights, bias)
+        at_p, at_u = p.scores(weights * counts, bias), u.scores(weights * counts, bias)
         n_p, n_u = len(at_p), len(at_u)
         clean = np.logaddexp(0, at_u).mean() - prior * np.logaddexp(0, at_p).mean()
         # slopes of l(f) and l(-f) in f
@@ -187,12 +225,12 @@ def _learn(names: tuple[str, ...], rows: list, prior: float, steps: int = 400, r
             by_p, by_u = prior * (down_p - up_p) / n_p, up_u / n_u
         else:
             by_p, by_u = prior * up_p / n_p, -up_u / n_u
-        slope = np.append(p.gradient(by_p) + u.gradient(by_u) + decay * weights, by_p.sum() + by_u.sum())
+        slope = np.append(counts * (p.gradient(by_p) + u.gradient(by_u)) + decay * weights, by_p.sum() + by_u.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         weights, bias = weights - change[:-1], bias - float(change[-1])
         weights[length] = np.minimum(weights[length], 0)  # length alone is no sign of toxicity
-    return Model(names, weights, bias)
+    return Model(names, weights * counts, bias)
 
 
 class _Scorer:
