@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from checks import telemetry as t
 from checks.file_queries import specs
+from tidemark import __main__ as command
 from tidemark.fixed import EVENT_PROPS
 from tidemark.operators import search as sr
 from tidemark.plans import jobs
@@ -103,3 +104,24 @@ def test_prepared_tables(files):
     assert files.read("train_session_props").count() == sessions
     jobs.prepare_sessions_with_props(files)
     assert files.read("train_prop_sessions").count() == sessions
+
+
+def test_event_files_without_line_breaks_are_read_in_parts(files, monkeypatch, tmp_path):
+    spark, size = files.spark, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    parts = jobs.Files(spark, files.data, str(tmp_path), multi_line=False)
+    spark.conf.set(size, "4096")
+    try:
+        whole, split = files.events("test.csv"), parts.events("test.csv")
+        assert split.rdd.getNumPartitions() > whole.rdd.getNumPartitions()
+        assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
+        assert parts.test().count() == whole.count()
+    finally:
+        spark.conf.set(size, before)
+    seen = []
+    monkeypatch.setitem(jobs.JOBS, "prepare-events", lambda f: seen.append(f.multi_line))
+    monkeypatch.setattr(command, "build_session", lambda name: spark)
+    for options in ([], ["--single-line"]):
+        monkeypatch.setattr("sys.argv", ["tidemark", "prepare-events", files.data, str(tmp_path), *options])
+        command.main()
+    assert seen == [True, False]

@@ -13,9 +13,14 @@ def main() -> None:
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("data")
     parser.add_argument("out")
+    parser.add_argument(
+        "--single-line",
+        action="store_true",
+        help="no quoted field of train.csv or test.csv holds a line break: read each in several parts",
+    )
     args = parser.parse_args()
     spark = build_session(f"tidemark {args.job}")
-    score = JOBS[args.job](Files(spark, args.data, args.out))
+    score = JOBS[args.job](Files(spark, args.data, args.out, multi_line=not args.single_line))
     if score is not None:
         for row in score.collect():
             print(row.asDict())

@@ -47,10 +47,17 @@ LOGS = ("tuning_num_correct", "tuning_num_incorrect", "tuning_accuracy_group", "
 
 
 class Files:
-    """The input files and the tables made from them."""
+    """The input files and the tables made from them.
 
-    def __init__(self, spark: SparkSession, data: str, out: str):
-        self.spark, self.data, self.out = spark, data, out
+    With `multi_line` off, the event files are read in several parts each: right only where no
+    quoted field holds a line break.
+    """
+
+    def __init__(self, spark: SparkSession, data: str, out: str, multi_line: bool = True):
+        self.spark, self.data, self.out, self.multi_line = spark, data, out, multi_line
+
+    def events(self, name: str) -> DataFrame:
+        return rd.csv_events(self.spark, f"{self.data}/{name}", self.multi_line)
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -68,12 +75,12 @@ class Files:
         """Events of labelled devices: the text file is read once, for whatever job is the first."""
 
         def make() -> DataFrame:
-            return keep_devices(rd.csv_events(self.spark, f"{self.data}/train.csv"), self.labels())
+            return keep_devices(self.events("train.csv"), self.labels())
 
         return self.once("train_events", make)
 
     def test(self) -> DataFrame:
-        return self.once("test_events", lambda: rd.csv_events(self.spark, f"{self.data}/test.csv"))
+        return self.once("test_events", lambda: self.events("test.csv"))
 
     def specs(self) -> DataFrame:
         return rd.csv_table(self.spark, f"{self.data}/specs.csv", schemas.SPECS)
