@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.backoff import scores
 from tidemark.llm.bpe import decode, encode
+from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.merkle import fingerprint, likeness, with_next
 from tidemark.llm.packing import pack
 from tidemark.llm.sharding import shard
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.spelling import variants
 from tidemark.llm.substrings import cut_repeats
 from tidemark.llm.topk import top_k
 from tidemark.llm.toxicity import fit, held_out, score
@@ -205,3 +207,100 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined.format(told) + " AS labels",
         f"coalesce(array_max(transform({told}, d -> d.weight)), 0.0D) AS score",
     )
+
+
+_BETWEEN = "\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F"
+_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^{_BETWEEN}]+')"
+
+
+@query(
+    "op11_winnowing",
+    f"""
+    WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+    sized AS (SELECT item, w, least(10, len(w)) AS n FROM items WHERE len(w) > 0),
+    windows AS (
+        SELECT DISTINCT item, array_to_string(w[i:i + n - 1], ' ') AS win
+        FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+    places AS (
+        SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+              FROM docs CROSS JOIN (SELECT DISTINCT n FROM sized) WHERE len(w) >= n)),
+    hits AS (SELECT doc_id, i, n, item FROM places JOIN windows USING (win)),
+    covered AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY doc_id),
+    listed AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
+)
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query(
+    "op12_spelling",
+    """
+    WITH RECURSIVE bits AS (
+        SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+            FROM (SELECT unnest(range(CAST(0 AS BIGINT), 256)) AS i))),
+    texts AS (
+        SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    runs AS (
+        SELECT doc, run, count(*) AS n
+        FROM (SELECT doc, unnest(regexp_extract_all(text, '[a-z\\x{C0}-\\x{FF}]+')) AS run FROM texts)
+        WHERE length(run) >= 7 GROUP BY doc, run),
+    coded AS (
+        SELECT doc, run, n, flatten(list_transform(string_split(doc || ':' || run, ''), lambda s: CASE
+            WHEN unicode(s) < 128 THEN [CAST(unicode(s) AS BIGINT)]
+            ELSE [CAST(192 + unicode(s) // 64 AS BIGINT), CAST(128 + unicode(s) % 64 AS BIGINT)] END)) AS bytes FROM runs),
+    hashed AS (
+        SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes),
+            lambda c, b: xor(t[xor(c % 256, b) + 1], c // 256)), 4294967295) AS h
+        FROM coded CROSS JOIN bits),
+    spelt AS (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+            ELSE run END AS word, n FROM hashed),
+    words AS (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    gaps AS (
+        SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS (
+        SELECT x.word, y.word AS other, y.n AS other_n
+        FROM gaps x JOIN gaps y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+        UNION SELECT x.word, y.word, y.n FROM gaps x JOIN words y ON x.a || x.b = y.word
+        UNION SELECT y.word, x.word, x.n FROM gaps x JOIN words y ON x.a || x.b = y.word),
+    ranked AS (
+        SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+            row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS nth FROM near),
+    told AS (
+        SELECT w.word, n, coalesce(n_near, 0) AS n_near,
+            CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+        FROM words w LEFT JOIN (SELECT * FROM ranked WHERE nth = 1) r ON w.word = r.word),
+    chain AS (
+        SELECT word, word AS at FROM told
+        UNION ALL SELECT c.word, t.form FROM chain c JOIN told t ON c.at = t.word WHERE t.form IS NOT NULL)
+    SELECT t.word, t.form, c.at AS root, t.n, CAST(t.n_near AS BIGINT) AS n_near, t.form_n
+    FROM told t JOIN chain c ON t.word = c.word JOIN told l ON l.word = c.at WHERE l.form IS NULL
+    """,
+)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(documents(spark, sf_dir))
