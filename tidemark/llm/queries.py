@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.backoff import scores
 from tidemark.llm.bpe import decode, encode
 from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.lexical import rank
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.merkle import fingerprint, likeness, with_next
 from tidemark.llm.packing import pack
@@ -304,3 +305,28 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(documents(spark, sf_dir))
+
+
+@query(
+    "op13_lexical",
+    f"""
+    WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    wanted AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(w) AS term FROM items)),
+    totals AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_all FROM docs),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM docs) GROUP BY doc_id, term),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+        FROM tf CROSS JOIN totals GROUP BY term, n_docs),
+    sizes AS (SELECT doc_id, 100 - 90 + (90 * len(w) * n_docs) // n_all AS m FROM docs CROSS JOIN totals),
+    scores AS (
+        SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+        FROM wanted JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id) GROUP BY item_id, doc_id),
+    ranked AS (
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scores WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 10
+    """,
+)
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)

@@ -1,4 +1,4 @@
-"""Spelling variants: words one edit apart, found by asymmetric q-chunks, in SQL functions.
+"""Spelling variants: words one edit apart, found by asymmetric q-chunks.
 
 Of a pair of words the shorter one (or either of two equally long ones) contributes two disjoint
 chunks, its first and its last half; the other contributes its positional grams of that length. One
@@ -13,77 +13,106 @@ bounds the words that one chunk is compared with, whatever the vocabulary.
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import as_bytes, texts_of
 from tidemark.session import release, small_side, stage
 
 LEAST_LENGTH = 7
 CROWD = 32  # words that a chunk is compared with; beyond, the words are chunked further
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_HELD = 1 << 18  # words that a task counts before it sends them
 _RUN = "[a-zÀ-ÿ]"
-
-
-def occurrences(docs: DataFrame, id_col: str, text_col: str, least: int, every: int) -> DataFrame:
-    """A row per word of at least `least` code points, misspelt by rule: of a run whose crc32 with
-    its document's id is divisible by `every`, the code point of that number is gone."""
-    texts = docs.select(
-        F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("doc"),
-        F.translate(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), _UPPER, _UPPER.lower()).alias("text"),
-    )
-    # shorter runs cannot become words; explode_outer, as explode would find the runs twice, to filter
-    runs = texts.select("doc", F.explode_outer(F.regexp_extract_all("text", F.lit(_RUN + f"{{{least},}}"), F.lit(0))).alias("run"))
-    runs = runs.where("run IS NOT NULL").withColumn("h", F.crc32(F.concat("doc", F.lit(":"), "run").cast("binary")))
-    gone = F.expr("CAST(h % length(run) AS INT)")
-    shorter = F.concat(F.substring("run", F.lit(1), gone), F.substring("run", gone + 2, F.length("run")))
-    word = F.when(F.col("h") % every == 0, shorter).otherwise(F.col("run"))
-    return runs.select(word.alias("word")).where(F.length("word") >= least)
+_LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
 
 def vocabulary(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_LENGTH, every: int = 31, often: int = 2
 ) -> DataFrame:
-    """(word, n): the words that occur `often` times or more in all documents."""
-    words = occurrences(docs, id_col, text_col, least, every)
-    return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= often)
+    """(word, n): the words of `least` code points or more that occur `often` times or more in all.
 
+    Misspelt by rule: of a run whose crc32 with its document's id is divisible by `every`, the code
+    point of that number is gone. Tasks count what they read before words are shuffled, and send
+    their counts whenever they hold `_HELD` words.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = re.compile(f"{_RUN}{{{least},}}")  # shorter runs cannot become words
+        held: Counter[str] = Counter()
+        for batch in batches:
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                before = zlib.crc32(f"{'' if doc is None else doc}:".encode())
+                for run, n in Counter(runs.findall(text.translate(_LOWER).decode())).items():
+                    code = zlib.crc32(run.encode(), before)
+                    if code % every == 0:
+                        gone = code % len(run)
+                        run = run[:gone] + run[gone + 1 :]
+                    if len(run) >= least:
+                        held[run] += n
+                if len(held) >= _HELD:
+                    yield _counts(held)
+                    held.clear()
+        yield _counts(held)
+
+    return (
+        as_bytes(texts_of(docs, id_col, text_col))
+        .mapInArrow(count, "word string, n long")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= often)
+    )
 
-def _chunked(words: DataFrame, longer: int, chunk_side: bool) -> DataFrame:
-    """What a word sends as the chunk side (two chunks), or as the gram side, for partners that
-    are `longer` code points longer: key, rest, exact.
 
-    `key` is the chunk with all that was agreed on before; `rest` is what stays open. `exact` marks
-    the chunks whose shift is that of the edit, which every near pair has one of.
+def _counts(held: Counter[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"]
+    )
+
+
+def _chunked(words: DataFrame, longer: Sequence[int], chunk_side: bool) -> DataFrame:
+    """What each word sends as the chunk side (two chunks), or as the gram side, for partners that
+    are so many code points `longer`.
+
+    `key` is the chunk with all that was agreed on before; `rest` is what stays open, if it does.
+    `exact` marks chunks whose shift is that of the edit, which every near pair has one of.
     """
-    size = F.length("rest") if chunk_side else F.length("rest") - longer
-    q = F.greatest(F.lit(1), F.floor(size / 2)).cast("int")
     sent = []
-    # first half: in its place, or pushed back by what is inserted before it; last half likewise
-    for half, shifts in (("first", range(longer + 1)), ("last", range(longer + 1))):
-        for shift in shifts:
-            home = F.lit(0) if half == "first" else size - q
-            at = (home if chunk_side else home + shift).cast("int")
-            exact = shift == (0 if half == "first" else longer)
-            rest = F.substring("rest", q + 1, F.length("rest")) if half == "first" else F.substring("rest", F.lit(1), at)
-            sent.append(
-                F.struct(
-                    F.xxhash64("key", F.lit(half), F.lit(longer), F.lit(shift), size, F.substring("rest", at + 1, q)).alias("key"),
-                    rest.alias("rest"),
-                    F.lit(exact).alias("exact"),
+    for more in longer:
+        size = F.length("rest") - (0 if chunk_side else more)
+        q = F.greatest(F.lit(1), F.floor(size / 2)).cast("int")
+        # first half: in its place, or pushed back by what is inserted before it; last half likewise
+        for half in ("first", "last"):
+            for shift in range(more + 1):
+                home = F.lit(0) if half == "first" else size - q
+                at = (home if chunk_side else home + shift).cast("int")
+                rest = F.substring("rest", q + 1, F.length("rest")) if half == "first" else F.substring("rest", F.lit(1), at)
+                sent.append(
+                    F.struct(
+                        F.xxhash64("key", F.lit(half), F.lit(more), F.lit(shift), size, F.substring("rest", at + 1, q)).alias("key"),
+                        rest.alias("rest"),
+                        F.lit(more).alias("longer"),
+                        F.lit(shift == (0 if half == "first" else more)).alias("exact"),
+                        # with one to insert, the chunk side may agree to its last code point
+                        (size - q > 1 - more).alias("open"),
+                    )
                 )
-            )
-    return words.select("word", "n", F.explode(F.array(*sent)).alias("c")).select("word", "n", "c.*")
+    chosen = [c for c in words.columns if c in ("word", "n")]
+    return words.select(*chosen, F.explode(F.array(*sent)).alias("c")).select(*chosen, "c.*")
 
 
-def _meet(chunks: DataFrame, grams: DataFrame, longer: int) -> DataFrame:
+def _meet(chunks: DataFrame, grams: DataFrame) -> DataFrame:
     """The pairs that share a key and are one edit apart."""
     other = grams.select("key", F.col("word").alias("other"), F.col("n").alias("other_n"))
-    pairs = chunks.select("key", "word", "n").join(other, "key")
-    if not longer:
-        pairs = pairs.where("word < other")
-    return pairs.where(F.levenshtein("word", "other", 1) == 1).drop("key")
+    pairs = chunks.select("key", "longer", "word", "n").join(other, "key")
+    once = (F.col("longer") == 1) | (F.col("word") < F.col("other"))
+    return pairs.where(once & (F.levenshtein("word", "other", 1) == 1)).drop("key", "longer")
 
 
 def near_pairs(words: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -91,26 +120,21 @@ def near_pairs(words: DataFrame, crowd: int = CROWD) -> DataFrame:
 
     Words have two code points or more and are distinct.
     """
+    start = words.select("word", "n", F.col("word").alias("rest"), F.lit(0).cast("long").alias("key"))
+    chunks, grams = _chunked(start, (0, 1), True), _chunked(start, (0, 1), False)
     found = []
-    for longer in (0, 1):
-        start = words.select("word", "n", F.col("word").alias("rest"), F.lit(longer).cast("long").alias("key"))
-        chunks, grams = start, start.where(F.length("rest") > longer)
-        # a chunk that is empty has agreed on all but what was inserted: nothing is left to refine
-        least = 1 - longer
-        while True:
-            chunks = stage(_chunked(chunks, longer, True), "chunks")
-            grams = stage(_chunked(grams, longer, False), "grams")
-            crowded = grams.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("key")
-            crowded = small_side(crowded)
-            if crowded.isEmpty():
-                found.append(_meet(chunks, grams, longer))
-                break
-            open_ = F.length("rest") > least
-            more = crowded.join(chunks.where(open_).select("key").distinct(), "key", "left_semi")
-            more = small_side(more)
-            found.append(_meet(chunks.join(more, "key", "left_anti"), grams.join(more, "key", "left_anti"), longer))
-            chunks, grams = (side.join(more, "key", "left_semi").where("exact") for side in (chunks, grams))
-    return reduce(DataFrame.unionByName, found).distinct()
+    while True:
+        chunks, grams = stage(chunks, "chunks"), stage(grams, "grams")
+        crowded = grams.groupBy("key").agg(F.count("*").alias("n"), F.bool_and("open").alias("open"))
+        crowded = small_side(crowded.where((F.col("n") > crowd) & F.col("open")).select("key"))
+        if crowded.isEmpty():
+            return reduce(DataFrame.unionByName, [*found, _meet(chunks, grams)]).distinct()
+        found.append(_meet(chunks.join(crowded, "key", "left_anti"), grams.join(crowded, "key", "left_anti")))
+        again = [side.join(crowded, "key", "left_semi").where("exact") for side in (chunks, grams)]
+        chunks, grams = (
+            reduce(DataFrame.unionByName, [_chunked(side.where(F.col("longer") == n), (n,), own) for n in (0, 1)])
+            for side, own in zip(again, (True, False), strict=True)
+        )
 
 
 def variants(
