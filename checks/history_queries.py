@@ -325,6 +325,44 @@ def history_shifted_any_size(spark, sf_dir):
     return shifted(spark, sf_dir, h.ANY_SIZE)
 
 
+# Values that lie near zero up to a moment and near a billion after it, or the other way round: what
+# a target sees may be all small, all large, or both. Large figures are told in millions.
+TURN = 1_705_300_000
+DRIFTS = {
+    "up": f"game_time % 1000 + CASE WHEN start >= {TURN} THEN 1000000000 ELSE 0 END",
+    "down": f"game_time % 1000 + CASE WHEN start >= {TURN} THEN 0 ELSE 1000000000 END",
+}
+
+
+def _told(x: str) -> str:
+    return f"round(CASE WHEN {x} > 1000000 THEN {x} / 1000000 ELSE {x} END, 3)"
+
+
+DRIFTING = [
+    _told(x if stat != "sum" else f"coalesce({x}, 0)") + f" AS {name}_{stat}"
+    for name, value in DRIFTS.items()
+    for stat in h.STATS_AND_SUM
+    for x in [f"{SQL_STAT[stat]}(CAST({value} AS DOUBLE))"]
+]
+
+
+def drifting(spark, sf_dir, limits):
+    measures = [h.Measure(name, value, h.STATS_AND_SUM) for name, value in DRIFTS.items()]
+    df = picked(session_history(spark, sf_dir, measures, limits=limits), measures)
+    names = [c for m in measures for c in m.columns()]
+    return df.selectExpr(h.DEVICE, h.TARGET, *[f"{_told(c)} AS {c}" for c in names])
+
+
+@query("history_drifting", grouped(SESSION_HISTORY, DRIFTING))
+def history_drifting(spark, sf_dir):
+    return drifting(spark, sf_dir, h.Limits())
+
+
+@query("history_drifting_any_size", grouped(SESSION_HISTORY, DRIFTING))
+def history_drifting_any_size(spark, sf_dir):
+    return drifting(spark, sf_dir, h.ANY_SIZE)
+
+
 def _by_title_sql() -> list[str]:
     parts = []
     for metric in ("game_time", "event_count"):

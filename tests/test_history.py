@@ -266,3 +266,53 @@ def test_taken_back_values_leave_the_order_statistics(spark):
     )
     got = px.kth_smallest(items, asked, ["g"], "pos", 9, chunk=2).collect()
     assert {r["pos"]: r["code"] for r in got} == {2: 9, 3: 300, 4: 7}
+
+
+def seen_states(rows, start):
+    """The values a target sees of (session, start, value) rows: the last state of each session."""
+    last = {}
+    for session, at, value in sorted(rows, key=lambda r: r[1]):
+        if at < start:
+            last[session] = value
+    return list(last.values())
+
+
+DRIFTING = {
+    "up": [(f"s{i}", i, i % 2 + (1e9 if i >= 100 else 0)) for i in range(200)],
+    "down": [(f"s{i}", i, i % 2 + (0 if i >= 100 else 1e9)) for i in range(200)],
+    "first far away": [("s0", 0, 1e12), *[(f"s{i}", i, 0.1 * (i % 3)) for i in range(1, 60)]],
+    # the state that was far away is replaced before and after others come
+    "taken back": [("s0", 0, 1e12), ("s0", 5, 0.25), *[(f"s{i}", i, 0.1 * (i % 3)) for i in range(1, 60)]],
+    "often taken back": [(f"s{i % 7}", i, 3e8 * (i % 5 == 0) + i % 3) for i in range(150)],
+    "constant": [(f"s{i}", i, 0.1) for i in range(40)],
+}
+
+
+@pytest.mark.parametrize("name", DRIFTING)
+def test_deviations_are_exact_however_values_drift(spark, name):
+    from statistics import fmean, stdev
+
+    rows = DRIFTING[name]
+    before, made = {}, []
+    for session, start, value in rows:
+        state = None if session not in before else (before[session],)
+        made.append(("d", session, start, "a", "Game", float(value), state))
+        before[session] = float(value)
+    s = spark.createDataFrame(
+        made,
+        "installation_id string, game_session string, start bigint, title string, type string,"
+        " value double, before struct<value: double>",
+    )
+    starts = [0, 1, 2, 3, 5, 6, 17, 99, 100, 101, 130, 300]
+    t = spark.createDataFrame(
+        [("d", f"t{x}", x, "a") for x in starts],
+        "installation_id string, assessment_game_session string, start bigint, assessment_title string",
+    )
+    got = by_target(h.history_features(s, t, [h.Measure("v", "value", h.STATS_AND_SUM)], h.ANY_SIZE, chunk=16))
+    for x in starts:
+        seen, row = seen_states(rows, x), got[("d", f"t{x}")]
+        assert row["n_history"] == len(seen)
+        if len(seen) > 1:
+            assert row["v_std"] == pytest.approx(stdev(seen), rel=1e-9, abs=0), x
+            assert row["v_mean"] == pytest.approx(fmean(seen), rel=1e-12), x
+            assert row["v_median"] == statistics.median(seen) and row["v_max"] == max(seen)

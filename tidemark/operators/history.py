@@ -1,9 +1,9 @@
 """Features of a target moment from everything earlier on the same device.
 
 A device is answered from one array of its sessions, which each of its targets reads, as long as
-what its targets read in all is bounded in bytes. Any other goes through `prefix`, where no group
-is ever gathered. Both take deviations from a mean before they square: the array from the mean of
-what the target sees, `prefix` from that of the device.
+what its targets read in all is bounded in bytes. Any other goes through `moments` and `prefix`,
+where no group is ever gathered. Neither squares a value far from those it is compared with: the
+array plan takes distances from the mean of what the target sees, `moments` merges states.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import ASSESSMENT
 from tidemark.functions.naming import literal, quoted, with_stat
-from tidemark.operators.prefix import CHUNK, kth_smallest, prefix_totals, ranked_values
+from tidemark.operators.moments import visible_moments
+from tidemark.operators.prefix import CHUNK, kth_smallest, ranked_values
 from tidemark.session import small_side, stage
 
 DEVICE = "installation_id"
@@ -163,15 +164,20 @@ def _array_type(sessions: DataFrame, measures: Sequence[Measure]) -> str:
     return f"array<struct<{POS}: {at}, until: {at}, title: {title}, {values}>>"
 
 
+def _until(sessions: DataFrame) -> DataFrame:
+    """`until`: where the next state of a session stands, up to which this one is seen."""
+    next_state = F.lit(None).cast(sessions.schema[POS].dataType)
+    if "before" in sessions.columns:
+        next_state = F.lead(POS).over(W.partitionBy(DEVICE, "game_session").orderBy(POS))
+    return sessions.withColumn("until", next_state)
+
+
 def _by_arrays(
     sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure]
 ) -> DataFrame:
     """Each target reads the one array of its device, whose length the limits bound."""
-    next_state = F.lit(None).cast(sessions.schema[POS].dataType)
-    if "before" in sessions.columns:
-        next_state = F.lead(POS).over(W.partitionBy(DEVICE, "game_session").orderBy(POS))
     values = [f"CAST({m.among()} AS DOUBLE) AS m{i}" for i, m in enumerate(measures)]
-    states = sessions.withColumn("until", next_state).selectExpr(
+    states = _until(sessions).selectExpr(
         DEVICE, f"struct({POS}, until, title, {', '.join(values)}) AS state"
     )
     blocks = states.groupBy(DEVICE).agg(F.collect_list("state").alias("states"))
@@ -206,14 +212,16 @@ def _from_arrays(seen: DataFrame, columns: Sequence[str], measures: Sequence[Mea
 
 
 def _long(sessions: DataFrame, measures: Sequence[Measure], weight: int) -> DataFrame:
-    """One row per session and measure: device, measure, scope, start, value, weight."""
+    """One row per session and measure: device, measure, scope, start, value, weight, and the
+    position from which on a later state of the session takes its place."""
+    until = "until" if "until" in sessions.columns else "NULL"
     entries = [
         f"struct({i} AS measure, {_scope(m, 'title')} AS scope, CAST({m.among()} AS DOUBLE) AS value)"
         for i, m in enumerate(measures)
     ]
     return (
-        sessions.selectExpr(DEVICE, POS, f"explode(array({', '.join(entries)})) AS entry")
-        .selectExpr(DEVICE, POS, "entry.*", f"CAST({weight} AS BIGINT) AS weight")
+        sessions.selectExpr(DEVICE, POS, f"CAST({until} AS BIGINT) AS until", f"explode(array({', '.join(entries)})) AS entry")
+        .selectExpr(DEVICE, POS, "until", "entry.*", f"CAST({weight} AS BIGINT) AS weight")
         .filter("value IS NOT NULL AND scope IS NOT NULL")
     )
 
@@ -226,7 +234,7 @@ def _by_prefix(
     sessions: DataFrame, targets: DataFrame, measures: Sequence[Measure], chunk: int
 ) -> DataFrame:
     keys = [DEVICE, "measure", "scope"]
-    items = _long(sessions, measures, 1)
+    items = _long(_until(sessions), measures, 1)
     if "before" in sessions.columns:
         past = sessions.filter(F.col("before").isNotNull())
         replaced = past.select(
@@ -236,16 +244,14 @@ def _by_prefix(
         items = items.unionByName(_long(replaced, measures, -1))
 
     items = stage(items, "items")
-    # Where the values of a device lie; whole, so that whole values stay whole.
-    centres = items.filter("weight > 0").groupBy(*keys).agg(F.round(F.avg("value")).alias("centre"))
-    centres = stage(centres, "centres")
-    centred = items.join(centres, keys).withColumn("value", F.col("value") - F.col("centre"))
-    # A deviation needs the extremes, which tell a constant from rounding noise.
-    needs_rank = [i for i, m in enumerate(measures) if {"std", *ORDERED} & set(m.stats)]
+    needs_rank = [i for i, m in enumerate(measures) if ORDERED & set(m.stats)]
     sortable = items.filter(F.col("measure").isin(needs_rank))
-    ranks = ranked_values(sortable, ["measure", "value"])
-    lowest = F.min("code").over(W.partitionBy("measure"))
-    ranks = stage(ranks.withColumn("code", F.col("code") - lowest), "codes")
+    ranks = stage(ranked_values(sortable, ["measure", "value"]), "ranks")
+    lowest = ranks.groupBy("measure").agg(F.min("code").alias("lowest"))  # a row for each measure
+    ranks = ranks.join(F.broadcast(lowest), "measure").select(
+        "measure", "value", (F.col("code") - F.col("lowest")).alias("code")
+    )
+    ranks = stage(ranks, "codes")
     coded = stage(sortable.join(small_side(ranks), ["measure", "value"]), "coded")
 
     scopes = [
@@ -261,32 +267,12 @@ def _by_prefix(
     )
     asked = wanted.select(*keys, POS).distinct()
 
-    value, weight = F.col("value"), F.col("weight")
-    moments = centred.select(
-        *keys,
-        POS,
-        F.lit(0).alias("asks"),
-        weight.alias("n"),
-        (weight * value).alias("s1"),
-        (weight * value * value).alias("s2"),
-    ).unionByName(
-        asked.select(
-            *keys,
-            POS,
-            F.lit(1).alias("asks"),
-            F.lit(0).cast("bigint").alias("n"),
-            F.lit(0.0).alias("s1"),
-            F.lit(0.0).alias("s2"),
-        )
-    )
     totals = stage(
-        prefix_totals(moments, keys, POS, ["n", "s1", "s2"], chunk=chunk).filter("n > 0"), "totals"
+        visible_moments(items.filter("weight > 0"), asked, keys, POS, "until", chunk), "totals"
     )
 
     n = F.col("n")
-    wanted_ranks = F.array_distinct(
-        F.array(F.lit(1).cast("bigint"), F.expr("(n + 1) div 2"), F.expr("n div 2 + 1"), n)
-    )
+    wanted_ranks = F.array_distinct(F.array(F.expr("(n + 1) div 2"), F.expr("n div 2 + 1"), n))
     ranked = totals.filter(F.col("measure").isin(needs_rank)).select(
         *keys, POS, F.explode(wanted_ranks).alias("k")
     )
@@ -298,22 +284,16 @@ def _by_prefix(
         .groupBy(*at)
         .agg(F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("v"))
     )
-    joined = totals.join(by_rank, at, "left").join(centres, keys)
-    low, high = F.element_at("v", F.lit(1).cast("bigint")), F.element_at("v", n)
-    spread = F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / n, F.lit(0.0))
-    stats = joined.select(
+    stats = totals.join(by_rank, at, "left").select(
         *at,
         n.cast("double").alias("n"),
-        (F.col("s1") + n * F.col("centre")).alias("sum"),
-        (F.col("s1") / n + F.col("centre")).alias("mean"),
-        F.when(n < 2, F.lit(None).cast("double"))
-        .when(low == high, 0.0)
-        .otherwise(F.sqrt(spread / F.nullif(n - 1, F.lit(0))))
-        .alias("std"),
+        F.col("total").alias("sum"),
+        "mean",
+        F.when(n > 1, F.sqrt(F.col("m2") / F.nullif(n - 1, F.lit(0)))).alias("std"),
         (
             (F.element_at("v", F.expr("(n + 1) div 2")) + F.element_at("v", F.expr("n div 2 + 1"))) / 2
         ).alias("median"),
-        high.alias("max"),
+        F.element_at("v", n).alias("max"),
     )
     picks = []
     for i, stat, _, name in _features(measures):
