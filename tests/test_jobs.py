@@ -106,22 +106,19 @@ def test_prepared_tables(files):
     assert files.read("train_prop_sessions").count() == sessions
 
 
-def test_event_files_without_line_breaks_are_read_in_parts(files, monkeypatch, tmp_path):
+def test_event_files_are_read_in_parts(files, monkeypatch, tmp_path):
     spark, size = files.spark, "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(size)
-    parts = jobs.Files(spark, files.data, str(tmp_path), multi_line=False)
+    whole = files.events("test.csv").collect()
     spark.conf.set(size, "4096")
     try:
-        whole, split = files.events("test.csv"), parts.events("test.csv")
-        assert split.rdd.getNumPartitions() > whole.rdd.getNumPartitions()
-        assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
-        assert parts.test().count() == whole.count()
+        split = jobs.Files(spark, files.data, str(tmp_path)).events("test.csv")
+        assert sorted(split.collect()) == sorted(whole)
     finally:
         spark.conf.set(size, before)
     seen = []
-    monkeypatch.setitem(jobs.JOBS, "prepare-events", lambda f: seen.append(f.multi_line))
+    monkeypatch.setitem(jobs.JOBS, "prepare-events", lambda f: seen.append(f.data))
     monkeypatch.setattr(command, "build_session", lambda name: spark)
-    for options in ([], ["--single-line"]):
-        monkeypatch.setattr("sys.argv", ["tidemark", "prepare-events", files.data, str(tmp_path), *options])
-        command.main()
-    assert seen == [True, False]
+    monkeypatch.setattr("sys.argv", ["tidemark", "prepare-events", files.data, str(tmp_path)])
+    command.main()
+    assert seen == [files.data]

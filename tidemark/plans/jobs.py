@@ -47,17 +47,13 @@ LOGS = ("tuning_num_correct", "tuning_num_incorrect", "tuning_accuracy_group", "
 
 
 class Files:
-    """The input files and the tables made from them.
+    """The input files and the tables made from them."""
 
-    With `multi_line` off, the event files are read in several parts each: right only where no
-    quoted field holds a line break.
-    """
-
-    def __init__(self, spark: SparkSession, data: str, out: str, multi_line: bool = True):
-        self.spark, self.data, self.out, self.multi_line = spark, data, out, multi_line
+    def __init__(self, spark: SparkSession, data: str, out: str):
+        self.spark, self.data, self.out = spark, data, out
 
     def events(self, name: str) -> DataFrame:
-        return rd.csv_events(self.spark, f"{self.data}/{name}", self.multi_line)
+        return rd.csv_events(self.spark, f"{self.data}/{name}")
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import schemas
 from tidemark.functions.naming import quoted
+from tidemark.sources.csv_splits import records
 
 # What a whole-file reader takes for a missing value.
 MISSING = (
@@ -18,24 +21,38 @@ MISSING = (
 )
 
 
-def _texts(spark: SparkSession, path: str, names: Iterable[str], multi_line: bool) -> DataFrame:
-    """The named columns as text, found by the header; every file's header must be the same."""
+_QUOTES = {"escape": '"', "mode": "FAILFAST"}
+
+
+def _texts(spark: SparkSession, path: str, names: Iterable[str]) -> DataFrame:
+    """The named columns as text, found by the header; every file's header must be the same.
+
+    A file of one split is one task; of larger ones, splits are read by as many tasks.
+    """
 
     def reader():
-        return (
-            spark.read.option("header", True)
-            .option("escape", '"')
-            .option("multiLine", multi_line)
-            .option("mode", "FAILFAST")
-        )
-
-    found = reader().csv(path).columns
+        return spark.read.options(header=True, multiLine=True, **_QUOTES)
+
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if largest <= split:
+        found = reader().csv(path).columns
+        layout = _layout(path, found, names)
+        return reader().option("enforceSchema", False).schema(layout).csv(path).select(*[quoted(c) for c in names])
+    rows = records(spark, path)
+    headers = [r.record.removeprefix("\ufeff") for r in rows.where("header").select("record").distinct().limit(2).collect()]
+    if len(headers) > 1:
+        raise ValueError(f"the files of {path} have different headers")
+    layout = _layout(path, next(csv.reader(io.StringIO(headers[0], newline=""))), names)
+    parsed = rows.where("NOT header").select(F.from_csv("record", layout.toDDL(), _QUOTES).alias("r"))
+    return parsed.select(*[F.col(f"r.{quoted(c)}") for c in names])
+
+
+def _layout(path: str, found: list[str], names: Iterable[str]) -> StructType:
     absent = sorted(set(names) - set(found))
     if absent:
         raise ValueError(f"{path} has no column {', '.join(absent)}")
-    layout = StructType([StructField(c, StringType()) for c in found])
-    table = reader().option("enforceSchema", False).schema(layout).csv(path)
-    return table.select(*[quoted(c) for c in names])
+    return StructType([StructField(c, StringType()) for c in found])
 
 
 def csv_table(
@@ -43,16 +60,15 @@ def csv_table(
     path: str,
     schema: str,
     missing: Iterable[str] = MISSING,
-    multi_line: bool = True,
 ) -> DataFrame:
     """The columns of `schema` from a CSV, by the names in its header, whatever else it has.
 
-    A doubled quote stands for one, and a quoted field may hold line breaks; files without any
-    are read in several parts each with `multi_line` off. A field that is one of `missing` is
-    null; any other that does not fit its type is an error, and so is a column that is absent.
+    A doubled quote stands for one, and a quoted field may hold line breaks, also where a large
+    file is read in splits. A field that is one of `missing` is null; any other that does not fit
+    its type is an error, and so is a column that is absent.
     """
     fields = StructType.fromDDL(schema).fields
-    texts = _texts(spark, path, [f.name for f in fields], multi_line)
+    texts = _texts(spark, path, [f.name for f in fields])
     tokens = list(missing)
 
     def typed(field: StructField):
@@ -63,14 +79,14 @@ def csv_table(
     return texts.select(*[typed(f) for f in fields])
 
 
-def csv_events(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def csv_events(spark: SparkSession, path: str) -> DataFrame:
     """Events, field by field: only an empty field is missing."""
-    return csv_table(spark, path, schemas.EVENTS, ("",), multi_line)
+    return csv_table(spark, path, schemas.EVENTS, ("",))
 
 
-def csv_text(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+def csv_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The same columns with every field as text, to be cast by the caller."""
-    return _texts(spark, path, StructType.fromDDL(schema).names, multi_line)
+    return _texts(spark, path, StructType.fromDDL(schema).names)
 
 
 def labels(spark: SparkSession, path: str) -> DataFrame:
