@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import telemetry as t
-from checks.event_queries import ONE_HOT_GROUPS, fold_sql
+from checks.event_queries import ONE_HOT_GROUPS, fold_sql, gaps_sql
 from checks.history_queries import CODE_COUNTS, ID_COUNTS, LABELS
 from checks.registry import query
 from tidemark import schemas
@@ -231,11 +231,13 @@ def specs_html_rows(spark, sf_dir):
 @query(
     "stream_session_agg",
     f"""WITH {t.EV}, {fold_sql('fl', ', greatest(0, max(game_time)) AS game_time, count(*) AS n_events'
-    + CODE_COUNTS + ID_COUNTS)}
-    SELECT * EXCLUDE (grp) REPLACE (round(accuracy_rate, 6) AS accuracy_rate), {ONE_HOT_GROUPS} FROM s""",
+    + CODE_COUNTS + ID_COUNTS)}, {gaps_sql('fl')}
+    SELECT * EXCLUDE (grp) REPLACE (round(accuracy_rate, 6) AS accuracy_rate,
+        round(game_time_mean_diff, 6) AS game_time_mean_diff, round(game_time_std_diff, 6) AS game_time_std_diff),
+        {ONE_HOT_GROUPS} FROM s JOIN g USING (game_session)""",
 )
 def stream_session_agg(spark, sf_dir):
-    """Three batches, the first two of which are merged on the way."""
+    """Three batches, over which every session is strewn, the first two merged on the way."""
     events = t.telemetry(spark, sf_dir)
     source = scratch_path(spark, "event_files")
     events.repartition(6).write.parquet(source)

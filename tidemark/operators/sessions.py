@@ -54,30 +54,46 @@ def with_accuracy(sessions: DataFrame) -> DataFrame:
     )
 
 
-def gap_stats(events: DataFrame, key: str = KEY, value: str = "game_time") -> DataFrame:
-    """Mean and population deviation of the gaps between a session's sorted game times.
+def gap_buckets(events: DataFrame, key: str = KEY, value: str = "game_time") -> DataFrame:
+    """(key, bucket, n, ts): how many times of a session lie in each bucket, and which, sorted.
 
-    Times are bucketed by value. A bucket holds at most GAP_BUCKET distinct times, however
-    many events a session has, and buckets link through their ends. Repeated times add gaps
-    of zero, so only their count matters. Sums are exact integers.
+    A bucket holds at most GAP_BUCKET distinct times, however many events a session has.
     """
     times = events.filter(F.col(value).isNotNull()).select(
         key, F.col(value).cast("bigint").alias("t")
     )
-    buckets = (
-        times.groupBy(key, F.floor(F.col("t") / GAP_BUCKET).alias("bucket"))
-        .agg(F.count("t").alias("n"), F.sort_array(F.collect_set("t")).alias("ts"))
-        .select(
-            key,
-            "bucket",
-            "n",
-            F.col("ts")[0].alias("low"),
-            F.element_at("ts", -1).alias("high"),
-            F.expr(
-                "aggregate(zip_with(slice(ts, 2, size(ts)), slice(ts, 1, size(ts) - 1),"
-                " (b, a) -> (b - a) * (b - a)), 0L, (s, x) -> s + x)"
-            ).alias("squares"),
-        )
+    return times.groupBy(key, F.floor(F.col("t") / GAP_BUCKET).alias("bucket")).agg(
+        F.count("t").alias("n"), F.sort_array(F.collect_set("t")).alias("ts")
+    )
+
+
+def merge_gap_buckets(buckets: DataFrame, key: str = KEY) -> DataFrame:
+    """One row per bucket of rows of `gap_buckets`, whatever order their events came in."""
+    return buckets.groupBy(key, "bucket").agg(
+        F.sum("n").alias("n"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("ts")
+    )
+
+
+def gap_stats(events: DataFrame, key: str = KEY, value: str = "game_time") -> DataFrame:
+    """Mean and population deviation of the gaps between a session's sorted game times."""
+    return gaps_of(gap_buckets(events, key, value), key, value)
+
+
+def gaps_of(buckets: DataFrame, key: str = KEY, value: str = "game_time") -> DataFrame:
+    """`gap_stats` from the buckets, which link through their ends.
+
+    Repeated times add gaps of zero, so only their count matters. Sums are exact integers.
+    """
+    buckets = buckets.select(
+        key,
+        "bucket",
+        "n",
+        F.col("ts")[0].alias("low"),
+        F.element_at("ts", -1).alias("high"),
+        F.expr(
+            "aggregate(zip_with(slice(ts, 2, size(ts)), slice(ts, 1, size(ts) - 1),"
+            " (b, a) -> (b - a) * (b - a)), 0L, (s, x) -> s + x)"
+        ).alias("squares"),
     )
     exact = "decimal(38,0)"
     link = (F.col("low") - F.lag("high").over(W.partitionBy(key).orderBy("bucket"))).cast(exact)
