@@ -246,16 +246,44 @@ def stratified_group_fold(spark, sf_dir):
     return fo.stratified_folds(t.labels(spark, sf_dir), 5)
 
 
+# From the largest group down, each to the fold with the fewest rows; of groups of one size, the
+# first ones in the order of a digest go to the first fold that gets any.
+HEAP_FOLDS = """z AS (SELECT installation_id, count(*) AS size FROM labels_t GROUP BY 1),
+    placed AS (SELECT *, row_number() OVER (ORDER BY size DESC, md5(installation_id || ':2019'), installation_id) AS rn,
+        row_number() OVER (PARTITION BY size ORDER BY md5(installation_id || ':2019'), installation_id) AS nth FROM z),
+    dealing AS (
+        SELECT CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS size, CAST(0 AS BIGINT) AS fold,
+            list_transform(range(10), lambda x: CAST(0 AS BIGINT)) AS loads
+        UNION ALL
+        SELECT p.rn, p.size, CAST(list_position(loads, list_min(loads)) AS BIGINT) AS fold,
+            list_transform(loads, lambda x, i: x + CASE WHEN i = list_position(loads, list_min(loads)) THEN p.size ELSE 0 END)
+        FROM dealing d JOIN placed p ON p.rn = d.rn + 1),
+    shares AS (SELECT size, fold, sum(count(*)) OVER (PARTITION BY size ORDER BY fold) AS upto
+        FROM dealing WHERE rn > 0 GROUP BY size, fold)"""
+
+
 @query(
     "group_fold",
-    f"""WITH {t.EV}, {LABELS}, z AS (SELECT installation_id, count(*) AS size FROM labels_t GROUP BY 1)
-    SELECT installation_id, size, CAST((row_number() OVER (ORDER BY size DESC,
-        md5(installation_id || ':2019'), installation_id) - 1) % 10 AS INTEGER) AS fold FROM z""",
+    f"""WITH RECURSIVE {t.EV}, {LABELS}, {HEAP_FOLDS}
+    SELECT installation_id, p.size, CAST(min(fold) - 1 AS INTEGER) AS fold
+    FROM placed p JOIN shares s ON p.size = s.size AND p.nth <= s.upto GROUP BY installation_id, p.size""",
 )
 def group_fold(spark, sf_dir):
     return fo.group_folds(t.labels(spark, sf_dir), 10)
 
 
+@query(
+    "group_fold_load",
+    f"""WITH RECURSIVE {t.EV}, {LABELS}, {HEAP_FOLDS}
+    SELECT CAST(list_max(loads) AS BIGINT) AS most, CAST(list_min(loads) AS BIGINT) AS least
+    FROM dealing WHERE rn = (SELECT max(rn) FROM dealing)""",
+)
+def group_fold_load(spark, sf_dir):
+    """Rows of the fullest and of the emptiest fold."""
+    loads = fo.group_folds(t.labels(spark, sf_dir), 10).groupBy("fold").agg(F.sum("size").alias("rows"))
+    return loads.agg(F.max("rows").alias("most"), F.min("rows").alias("least"))
+
+
 @query(
     "nested_fold",
     f"""WITH {STRATIFIED} SELECT f.*, CAST((row_number() OVER (PARTITION BY fold {DEAL}) - 1) % 2

@@ -1,18 +1,22 @@
 """Cross-validation folds that keep a device's rows together.
 
-Groups are sorted and dealt out in turn, so a fold is a number modulo k. The sort key says
-what the dealing balances; a seeded digest of the group stands in for shuffling.
+Stratified groups are sorted and dealt out in turn, so a fold is a number modulo k, and the sort key
+says what the dealing balances. Plain groups go to the fold with the fewest rows. A seeded digest of
+the group stands in for shuffling.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from heapq import heapify, heapreplace
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.fixed import GROUP_LABELS, SEED
 from tidemark.operators.ordering import numbered
+from tidemark.session import small_side, stage
 
 GROUP = "installation_id"
 
@@ -64,15 +68,56 @@ def stratified_folds(
     return folds.select(group, *[F.col("_outer").alias(c) for c in outer], *names, name)
 
 
+def _dealt(loads: list[int], size: int, groups: int) -> list[int]:
+    """How many of `groups` groups of one size each load gets, if each goes to the least of them.
+
+    What the heap would do one by one: raise the lowest loads to a common level, then deal the rest
+    in order of (load, number).
+    """
+    counts = [0] * len(loads)
+    # the level up to which every load could be raised: at most `groups` steps below it
+    low, high = min(loads), max(loads) + size * groups
+    while low < high:
+        level = (low + high + 1) // 2
+        if sum(max(0, -(-(level - x) // size)) for x in loads) <= groups:
+            low = level
+        else:
+            high = level - 1
+    for i, x in enumerate(loads):
+        counts[i] = max(0, -(-(low - x) // size))
+    heap = [(x + size * c, i) for i, (x, c) in enumerate(zip(loads, counts, strict=True))]
+    heapify(heap)
+    for _ in range(groups - sum(counts)):  # fewer than there are loads
+        load, i = heap[0]
+        heapreplace(heap, (load + size, i))
+        counts[i] += 1
+    for i, c in enumerate(counts):
+        loads[i] += size * c
+    return counts
+
+
 def group_folds(df: DataFrame, k: int, group: str = GROUP, seed: int = SEED) -> DataFrame:
-    """One fold per group; fold sizes differ by at most the largest group."""
+    """One fold per group: from the largest group down, each goes to the fold with the fewest rows.
+
+    Groups of one size are interchangeable: how many of them each fold gets is settled on the
+    driver, for the distinct sizes (their number is at most the square root of twice the number of
+    rows), and which ones by a seeded digest, in one numbering of all groups.
+    """
     sizes = df.groupBy(group).agg(F.count("*").alias("size"))
     dealt = numbered(
         sizes.withColumn("_shuffle", shuffled(group, seed)),
         [F.desc("size"), "_shuffle", group],
         "_number",
     )
-    return dealt.select(group, "size", F.pmod("_number", F.lit(k)).cast("int").alias("fold"))
+    dealt = stage(dealt.select(group, "size", "_number"), "numbered")
+    found = dealt.groupBy("size").agg(F.count("*").alias("groups"), F.min("_number").alias("first"))
+    loads, plan = [0] * k, []
+    for row in sorted(found.collect(), key=lambda r: -r["size"]):
+        upto = list(accumulate(_dealt(loads, row["size"], row["groups"])))
+        plan.append((row["size"], [row["first"] + n for n in upto]))
+    plan = df.sparkSession.createDataFrame(plan, "size long, _upto array<long>")
+    fold = F.size(F.filter("_upto", lambda end: end <= F.col("_number")))
+    return dealt.join(small_side(plan), "size").select(group, "size", fold.alias("fold"))
 
 
 def with_fold(df: DataFrame, folds: DataFrame, group: str = GROUP) -> DataFrame:
