@@ -118,3 +118,31 @@ def test_staged_tables_go_to_the_named_folder(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert scratch_dir(spark) == named
     assert f"{named}/four-" in stage(spark.range(4), "four").inputFiles()[0]
+
+
+def test_a_cluster_needs_a_shared_scratch_folder():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self, **settings):
+            self.settings = settings
+            self.conf = self
+
+        def get(self, key, default=None):
+            return self.settings.get(key, default)
+
+    def at(**settings):
+        return scratch_dir(Session(**{k.replace("_", "."): v for k, v in settings.items()}))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        at(spark_sql_warehouse_dir="file:/tmp/warehouse")
+    assert at(spark_sql_warehouse_dir="s3a://w/") == "s3a://w/_scratch"
+    assert at(spark_sql_warehouse_dir="file:/tmp/w", spark_checkpoint_dir="hdfs://c") == "hdfs://c"
+    Session.sparkContext.master = "local[2]"
+    assert at(spark_sql_warehouse_dir="file:/tmp/w") == "file:/tmp/w/_scratch"

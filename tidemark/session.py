@@ -41,10 +41,15 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; without one, a folder in the warehouse, which is
-    shared too."""
+    """The shared folder the cluster names; without one, a folder in the warehouse, if that is
+    shared too: on a cluster, a folder of each machine's own is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
