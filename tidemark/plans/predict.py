@@ -47,10 +47,12 @@ def _marked(train: DataFrame, held: DataFrame) -> DataFrame:
     return train.withColumn("check", F.lit(False)).unionByName(held.withColumn("check", F.lit(True)))
 
 
-def _two_models(train, held, correct_settings, uncorrect_settings, rounds):
+def _two_models(train, held, correct_settings, uncorrect_settings, rounds, patience):
     rows, widest = _marked(train, held), mo.categories(train)
-    correct = mo.correct_model("num_correct", correct_settings, rounds, "check", widest).fit(rows)
-    uncorrect = mo.uncorrect_model("num_incorrect", uncorrect_settings, rounds, "check", widest).fit(rows)
+    correct = mo.correct_model("num_correct", correct_settings, rounds, widest)
+    correct = mo.fit_with_patience(correct, rows, "check", patience)
+    uncorrect = mo.uncorrect_model("num_incorrect", uncorrect_settings, rounds, widest)
+    uncorrect = mo.fit_with_patience(uncorrect, rows, "check", patience)
 
     def score(df: DataFrame) -> DataFrame:
         first = mo.probabilities(correct.transform(df)).select(
@@ -73,6 +75,7 @@ def out_of_fold(
     rounds: int = mo.ROUNDS,
     correct_settings: Mapping[str, float] = mo.CORRECT_SETTINGS,
     uncorrect_settings: Mapping[str, float] = mo.UNCORRECT_SETTINGS,
+    patience: int = mo.PATIENCE,
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions of each fold's two models, on its held-out rows and on the test rows."""
     dealt = stratified_folds(train, folds, seed=SEED)
@@ -80,7 +83,7 @@ def out_of_fold(
     held_out, tests = [], []
     for fold in range(folds):
         rest, held = split(placed, fold)
-        score = _two_models(rest, held, correct_settings, uncorrect_settings, rounds)
+        score = _two_models(rest, held, correct_settings, uncorrect_settings, rounds, patience)
         held_out.append(score(held).drop("features"))
         tests.append(score(test).drop("features").withColumn("fold", F.lit(fold)))
     return reduce(DataFrame.unionByName, held_out), reduce(DataFrame.unionByName, tests)
@@ -136,7 +139,9 @@ def group_model_run(
 Fit = Callable[[DataFrame, DataFrame], Callable[[DataFrame], float]]
 
 
-def fit_for(target: str, settings: Settings, rounds: int = mo.ROUNDS, trees: int = mo.TREES) -> Fit:
+def fit_for(
+    target: str, settings: Settings, rounds: int = mo.ROUNDS, trees: int = mo.TREES, patience: int = mo.PATIENCE
+) -> Fit:
     """How one trial is fitted and scored; larger is better for every target.
 
     A score that is undefined, where the scored rows have one label only, is an error.
@@ -145,9 +150,11 @@ def fit_for(target: str, settings: Settings, rounds: int = mo.ROUNDS, trees: int
     def fit(train: DataFrame, stop: DataFrame) -> Callable[[DataFrame], float]:
         rows, widest = _marked(train, stop), mo.categories(train)
         if target == "num_correct":
-            model = mo.correct_model(target, settings, rounds, "check", widest).fit(rows)
+            model = mo.correct_model(target, settings, rounds, widest)
+            model = mo.fit_with_patience(model, rows, "check", patience)
         elif target == "num_incorrect":
-            model = mo.uncorrect_model(target, settings, rounds, "check", widest).fit(rows)
+            model = mo.uncorrect_model(target, settings, rounds, widest)
+            model = mo.fit_with_patience(model, rows, "check", patience)
         else:
             model = mo.group_model(target, settings, trees, widest).fit(train)
 
@@ -180,9 +187,10 @@ def tune(
     folds: int = 5,
     rounds: int = mo.ROUNDS,
     trees: int = mo.TREES,
+    patience: int = mo.PATIENCE,
 ) -> DataFrame:
     """Every point's cross-validation score over `nested_rows`, as a trial table."""
-    fits = [(p, fit_for(target, p, rounds, trees)) for p in points]
+    fits = [(p, fit_for(target, p, rounds, trees, patience)) for p in points]
     return trial_table(nested.sparkSession, [(p, nested_score(nested, f, folds)) for p, f in fits])
 
 
