@@ -119,7 +119,7 @@ def test_group_folds(spark):
     totals = Counter()
     for r in folds:
         totals[r["fold"]] += r["size"]
-    assert [totals[k] for k in range(3)] == [8, 6, 4]
+    assert [totals[k] for k in range(3)] == [6, 6, 6]
 
 
 def test_nested_folds_keep_groups_whole(spark):
