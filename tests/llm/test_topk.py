@@ -63,3 +63,16 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     one = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")
     assert top_k(empty, empty).collect() == top_k(empty, one).collect() == top_k(one, one).collect() == []
+
+
+def test_products_beyond_64_bits_are_errors_not_rankings(spark):
+    def best(rows):
+        df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+        return [(r.query_id, r.vec_id, r.score) for r in top_k(df, df, k=1).orderBy("query_id").collect()]
+
+    # as large as fits: (256e6)**2 * 2 is below 2**62
+    far = 256 * 10**6
+    assert best([[1e6, 1e6], [1e6, 1e6], [1.0, 1.0], [-1e6, 1e6]])[:2] == [(0, 1, 2 * far * far), (1, 0, 2 * far * far)]
+    for size in (1e7, 1e17):
+        with pytest.raises(Exception, match="64-bit integers"):
+            best([[size, size], [size, size], [1.0, 1.0], [-size, size]])

@@ -11,13 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
 BLOCK = 4096  # rows of a block of the index
+_MOST = float(1 << 62)
 QUERIES = 256  # queries of a block, about
 SLICES = 16  # bits that an attribute has at most in the index
 
@@ -136,13 +137,26 @@ class Block:
         return above | equal
 
 
+def _check_bound(rows: np.ndarray, queries: np.ndarray) -> None:
+    """Raise where an inner product could leave 64 bits, so that none wraps around unseen."""
+    most = np.abs(rows).max(axis=0, initial=0).astype(float) @ np.abs(queries).max(axis=0, initial=0).astype(float)
+    if most >= _MOST:
+        raise ValueError(f"inner products may reach {most:.3g}, beyond 64-bit integers: use a smaller scale")
+
+
 def _quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
     """(id, q): floor(scale * x) of every component; vectors without finite components are out."""
     x = F.col(f"`{vector_col}`").cast("array<double>")
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), x.alias("x")).where(
         "id IS NOT NULL AND x IS NOT NULL"
-    ).where(finite).select("id", F.transform("x", lambda v: F.floor(v * scale)).alias("q"))
+    ).where(finite).select("id", F.transform("x", lambda v: _whole(v, scale)).alias("q"))
+
+
+def _whole(value: Column, scale: int) -> Column:
+    """floor(scale * value), where that is far enough inside 64 bits."""
+    large = F.raise_error(F.lit(f"a component times {scale} is beyond 64-bit integers: use a smaller scale"))
+    return F.when(F.abs(value * scale) < _MOST, F.floor(value * scale)).otherwise(large.cast("long"))
 
 
 def _packed(rows: DataFrame, size: int) -> DataFrame:
@@ -190,6 +204,8 @@ def top_k(
     vectors that are null or hold null or non-finite components, take no part; vectors of another
     length than the query's are no candidates; empty vectors score zero. Repeated query rows are
     one query (an id with several vectors is several), repeated candidate rows are candidates each.
+    An empty table of either gives no rows. Where quantised components, or inner products of a block
+    of rows and one of queries, could reach 2**62, that is an error.
 
     Each task gathers its rows in blocks of `block`; queries are dealt to blocks by hash. Every
     block of rows meets every block of queries, on a grid: rows are sent to each block of queries,
@@ -219,6 +235,7 @@ def top_k(
                     last = (ids, Block(own, np.frombuffer(values, dtype="<i8").reshape(len(own), width)))
                 asked_ids = np.array([a["id"] for a in asked], dtype=np.int64)
                 asked_for = np.array([a["q"] for a in asked], dtype=np.int64).reshape(len(asked), width)
+                _check_bound(last[1].vectors, asked_for)
                 found = list(last[1].best(asked_ids, asked_for, k))
                 counts, keys = [len(x) for _, x, _ in found], [a["key"] for a in asked]
                 yield pa.RecordBatch.from_arrays(
