@@ -59,7 +59,7 @@ def test_group_model_and_its_lists(files):
 
 def test_search_goes_on_where_it_ended(files, monkeypatch):
     monkeypatch.setattr(jobs, "PROBES", {"num_correct": sr.PROBES["num_correct"][:1], "num_incorrect": ()})
-    quick = {"folds": 2, "rounds": 2, "trees": 2}
+    quick = {"guided": 0, "folds": 2, "rounds": 2, "trees": 2}
     best = {r["log"]: r["target"] for r in jobs.tune(files, draws=0, **quick).collect()}
     assert set(best) == {"tuning_num_correct"} and 0 <= best["tuning_num_correct"] <= 1
     best = {r["log"]: r["target"] for r in jobs.tune(files, draws=1, **quick).collect()}
@@ -69,13 +69,21 @@ def test_search_goes_on_where_it_ended(files, monkeypatch):
 
     log = rd.tuning_log(files.spark, files.path("tuning_num_correct"))
     assert log.count() == log.select(F.col("params")["learning_rate"]).distinct().count() == 2
+    # one more point, which the log alone says; run again, nothing is added
+    logged = [(r["params"], r["target"]) for r in log.collect()]
+    for _ in range(2):
+        jobs.tune(files, draws=1, **{**quick, "guided": 1})
+    told = [r["params"] for r in rd.tuning_log(files.spark, files.path("tuning_num_correct")).collect()]
+    (new,) = [p for p in told if p not in [q for q, _ in logged]]
+    assert new == {k: float(v) for k, v in sr.suggest(sr.BOUNDS, logged).items()}
+    best = {r["log"]: r["target"] for r in jobs.best_trials(files).collect()}
     jobs.rank_log(files)
     ranked = [r["target"] for r in files.read("ranked_tuning_num_correct").collect()]
     assert ranked == sorted(ranked, reverse=True) and ranked[0] == best["tuning_num_correct"]
 
 
 def test_group_search(files):
-    best = jobs.tune_groups(files, draws=1, trees=2).filter("log = 'tuning_groups'").first()
+    best = jobs.tune_groups(files, draws=1, guided=1, trees=2).filter("log = 'tuning_groups'").first()
     assert -1 <= best["target"] <= 1 and best["params"]["n_splits"] in (8.0, 9.0, 10.0, 11.0)
 
 

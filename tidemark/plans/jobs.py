@@ -7,7 +7,7 @@ tables under `out` and the next one reads them back, so a job can be run again o
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ from tidemark.operators.search import (
     best_trial,
     candidates,
     ranked_trials,
+    suggest,
 )
 from tidemark.operators.sessions import sessions_with_ids, sessions_with_props
 from tidemark.operators.specs import property_map, report_rows
@@ -190,12 +191,30 @@ def predict_groups(files: Files, folds: int = 10, trees: int = mo.TREES) -> Data
     return scores.agg(F.avg("kappa").alias("mean_score"))
 
 
-def _left(files: Files, log: str, points: list[Settings]) -> list[Settings]:
-    """The points that a log does not have yet."""
-    if not wr.exists(files.spark, files.path(log)):
-        return points
-    logged = [row["params"] for row in rd.tuning_log(files.spark, files.path(log)).collect()]
-    return [p for p in points if {k: float(v) for k, v in p.items()} not in logged]
+def _search(
+    files: Files,
+    log: str,
+    points: list[Settings],
+    guided: int,
+    suggested: Callable[[list[tuple[Settings, float]]], Settings],
+    trial: Callable[[Settings], DataFrame],
+) -> None:
+    """Tries `points`, then `guided` more that `suggested` makes of the log.
+
+    Every trial is appended to the log when it ends, and the next point follows from the log, so
+    a second run goes on where the first ended and adds no trial twice.
+    """
+    wanted = [{k: float(v) for k, v in p.items()} for p in points]
+    while True:
+        logged = []
+        if wr.exists(files.spark, files.path(log)):
+            rows = rd.tuning_log(files.spark, files.path(log)).select("params", "target").collect()
+            logged = [(dict(row["params"]), row["target"]) for row in rows]
+        done = [settings for settings, _ in logged]
+        left = [p for p, w in zip(points, wanted, strict=True) if w not in done]
+        if not left and sum(s not in wanted for s in done) >= guided:
+            return
+        wr.tuning_log(trial(left[0] if left else suggested(logged)), files.path(log))
 
 
 def best_trials(files: Files) -> DataFrame:
@@ -210,29 +229,35 @@ def best_trials(files: Files) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def tune(files: Files, draws: int = 160, folds: int = 5, rounds: int = mo.ROUNDS, trees: int = mo.TREES) -> DataFrame:
+def tune(
+    files: Files, draws: int = 60, guided: int = 100, folds: int = 5, rounds: int = mo.ROUNDS, trees: int = mo.TREES
+) -> DataFrame:
     """Search the settings of the three models; returns the best trials.
 
-    Every trial is appended to its log when it ends, so a second run goes on where the first
-    ended and adds no trial twice.
+    Probes and draws come first, then points of the largest expected improvement. A second run
+    goes on where the first ended.
     """
     tables = files.read("train_features"), files.read("test_features")
     train, _, _ = pr.matrices(*tables, files.labels())
     nested = pr.nested_rows(train, folds)
     for target, probes in PROBES.items():
-        log = f"tuning_{target}"
-        for point in _left(files, log, candidates(BOUNDS, draws, probes)):
-            wr.tuning_log(pr.tune(nested, target, [point], folds, rounds, trees), files.path(log))
+        points = candidates(BOUNDS, draws, probes)
+
+        def trial(point: Settings, target: str = target) -> DataFrame:
+            return pr.tune(nested, target, [point], folds, rounds, trees)
+
+        _search(files, f"tuning_{target}", points, guided if points else 0, partial(suggest, BOUNDS), trial)
     return best_trials(files)
 
 
-def tune_groups(files: Files, draws: int = 130, trees: int = mo.TREES) -> DataFrame:
+def tune_groups(files: Files, draws: int = 30, guided: int = 100, trees: int = mo.TREES) -> DataFrame:
     """Search the settings of the four-class model on event-level features, as `tune` does."""
     train, _, _ = group_matrices(files)
     points = candidates(GROUP_BOUNDS, draws, whole=truncated_settings)
-    placed = pr.folds_by_number(train, (int(p["n_splits"]) for p in points))
-    for point in _left(files, "tuning_groups", points):
-        wr.tuning_log(pr.tune_group_model(placed, [point], trees), files.path("tuning_groups"))
+    low, high = (int(n) for n in GROUP_BOUNDS["n_splits"])
+    placed = pr.folds_by_number(train, range(low, high + 1) if guided else (int(p["n_splits"]) for p in points))
+    suggested = partial(suggest, GROUP_BOUNDS, whole=truncated_settings)
+    _search(files, "tuning_groups", points, guided, suggested, lambda p: pr.tune_group_model(placed, [p], trees))
     return best_trials(files)
 
 
