@@ -1,10 +1,14 @@
 import hashlib
 import random
 import re
+from bisect import bisect_right
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import merkle
+from tidemark.llm.common import told_apart
 from tidemark.llm.merkle import differing, fingerprint, fingerprints, likeness, with_next
 from tidemark.llm.queries import QUERIES
 
@@ -89,3 +93,31 @@ def test_empty_table_and_no_ids(spark):
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op5_merkle"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_buckets_are_cut_by_rank(spark, tmp_path):
+    """A far id, and a row that is a third of the table, leave no bucket with much more than its share."""
+    rows = [(i, f"text {i}. of some length") for i in range(4_000)] + [(10**15, "far away")] + [(77, "copy. of text 77")] * 2_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    read = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for table in (read, docs):
+        named = told_apart(table).withColumn("key", F.expr(merkle._KEY))
+        bounds = merkle._bounds(named, 10_000).collect()
+        keys = sorted(r.key for r in named.select("key").collect())
+        firsts = [r.key for r in sorted(bounds, key=lambda r: r.number)]
+        assert firsts == sorted(firsts) and firsts[0] == keys[0] and len(firsts) > 10
+        assert [r.follow for r in sorted(bounds, key=lambda r: r.number)] == firsts[1:] + firsts[:1]
+        held = Counter(bisect_right(firsts, k) for k in keys)
+        assert max(held.values()) < 2 * len(keys) / len(firsts)
+    check(QUERIES["op5_merkle"](spark, str(tmp_path)).collect(), brute_next(rows))
+
+
+def test_places_of_keys(spark, monkeypatch):
+    """Many cells: a key is placed in its cell, then in its bucket."""
+    monkeypatch.setattr(merkle, "_STEPS", 4)
+    monkeypatch.setattr(merkle, "_BUCKET_BYTES", 300)
+    rows = [(i * 7, f"text {i}") for i in range(500)] + [(None, "no id")]
+    got = with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    after = {(i, t): n for i, t, n in brute_next(rows)}
+    assert {(r.doc_id, r.text): r.next.text for r in got} == after and len(got) == len(rows)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _BATCH_ROWS = 512
@@ -29,6 +31,23 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def told_apart(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, row): `row` tells rows apart, equal ones too, and is the same each time the
+    table is read; a null text is empty.
+
+    It is a hash of the row's place in a parquet file. A table that does not come straight from
+    such files is written to the scratch folder first.
+    """
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row")
+    texts = texts_of(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    try:
+        if "_metadata" in docs.columns:
+            raise AnalysisException("hidden by a column of that name")
+        return texts.select("doc_id", "text", place)
+    except AnalysisException:
+        return stage(texts, "texts").select("doc_id", "text", place)
+
+
 def as_bytes(texts: DataFrame) -> DataFrame:
     """The text as its UTF-8 bytes; a null one is empty."""
     return texts.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
