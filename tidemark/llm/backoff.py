@@ -1,10 +1,11 @@
 """Stupid-backoff language-model scores from n-gram count tables of the whole corpus.
 
-Documents are dealt to blocks. A block sends its distinct n-grams with their counts to the count
-tables, which are partitioned by the n-grams' hashes; a table adds up and tells each block the
-totals of the n-grams it asked for; the block looks every n-gram of its documents up and sums.
-Between tasks an n-gram is one entry in a sorted list of hashes, not a row, so a frequent n-gram
-moves once per block however often it stands there.
+Documents are dealt to blocks by their place in the table, which spreads copies of a row too. A
+block sends its distinct n-grams with their counts to the count tables, which are partitioned by the
+n-grams' hashes; a table adds up and tells each block the totals of the n-grams it asked for; the
+block looks every n-gram of its documents up and sums. Between tasks an n-gram is one entry in a
+sorted list of hashes, not a row, so a frequent n-gram moves once per block however often it stands
+there.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, texts_of
+from tidemark.llm.common import told_apart
 
 _BLOCK_BYTES = 8 << 20
 _TABLE = 1 << 20  # n-grams that one part of a count table gets, about
@@ -113,14 +114,14 @@ def scores(
     the chance that one shares its hash with any other is at most one in a million.
     """
     spark = docs.sparkSession
-    texts = as_bytes(texts_of(docs, id_col, text_col))
+    texts = told_apart(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"), "row")
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = max(-(-size // _BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     # a word and its space are six bytes or more in most texts; one power of two of parts an order
     bits = max(0, math.ceil(math.log2(max(1, size / 6 / table))))
     numbered = math.ceil(math.log2(max(1, size * order / 6)))
     shift = 64 - min(64, max(_LEAST_BITS, numbered + _SPARE_BITS))
-    dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    dealt = texts.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).drop("row")
 
     def part_of(n: int, bucket: int) -> int:
         return (n << bits) + bucket
