@@ -116,7 +116,8 @@ def scores(
     spark = docs.sparkSession
     texts = told_apart(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"), "row")
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = max(-(-size // _BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    at_once = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(-(-size // _BLOCK_BYTES), at_once)
     # a word and its space are six bytes or more in most texts; one power of two of parts an order
     bits = max(0, math.ceil(math.log2(max(1, size / 6 / table))))
     numbered = math.ceil(math.log2(max(1, size * order / 6)))
@@ -205,6 +206,8 @@ def scores(
             }
         )
 
+    # a stated number of partitions is not merged into fewer: tasks sort few blocks at a time
+    dealt = dealt.repartition(2 * at_once, "block")
     sent = dealt.groupBy("block").applyInArrow(send, _SENT)
-    told = sent.groupBy("part").applyInArrow(add_up, _TOLD)
+    told = sent.groupBy("part").applyInArrow(add_up, _TOLD).repartition(2 * at_once, "block")
     return dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(look_up, _SCORE)
