@@ -16,6 +16,7 @@ from tidemark.operators import folds as fo
 from tidemark.operators import metrics as me
 from tidemark.operators import sessions as se
 from tidemark.operators.correlate import correlated_columns, correlations
+from tidemark.session import stage
 
 SESSIONS = fold_sql("fl", ", max(game_time) AS game_time" + CODE_COUNTS)
 CODE_COLUMNS = [code_column(c) for c in t.CODES]
@@ -246,6 +247,30 @@ def stratified_group_fold(spark, sf_dir):
     return fo.stratified_folds(t.labels(spark, sf_dir), 5)
 
 
+@query(
+    "balanced_group_fold",
+    f"""WITH {t.EV}, {LABELS}, c AS (
+        SELECT installation_id, {", ".join(f"count(*) FILTER (accuracy_group = {x}) AS label_{x}" for x in range(4))}
+        FROM labels_t GROUP BY 1)
+    SELECT label_0, label_1, label_2, label_3, count(*) AS devices, true AS no_worse
+    FROM c GROUP BY 1, 2, 3, 4""",
+)
+def balanced_group_fold(spark, sf_dir):
+    """Devices by label counts, and whether the folds' shares of the labels are at least as alike as
+    those of dealing in turn."""
+    labels = t.labels(spark, sf_dir)
+    names = [f"label_{x}" for x in range(4)]
+    placed = stage(fo.balanced_folds(labels, 5), "placed")
+
+    def uneven(folds):
+        sums = folds.groupBy("fold").agg(*[F.sum(c).alias(c) for c in names]).select(*names).toPandas()
+        return fo.unevenness(sums.to_numpy(dtype=float))
+
+    no_worse = bool(uneven(placed) <= uneven(fo.stratified_folds(labels, 5)))
+    once = F.count("*") == F.countDistinct("installation_id")
+    return placed.groupBy(*names).agg(F.count("*").alias("devices"), (once & F.lit(no_worse)).alias("no_worse"))
+
+
 # From the largest group down, each to the fold with the fewest rows; of groups of one size, the
 # first ones in the order of a digest go to the first fold that gets any.
 HEAP_FOLDS = """z AS (SELECT installation_id, count(*) AS size FROM labels_t GROUP BY 1),

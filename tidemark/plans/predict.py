@@ -13,7 +13,7 @@ from tidemark.functions.rules import attempts_to_group
 from tidemark.operators import metrics
 from tidemark.operators import models as mo
 from tidemark.operators.encode import align, label_encode, train_matrix
-from tidemark.operators.folds import group_folds, split, stratified_folds, with_fold
+from tidemark.operators.folds import balanced_folds, group_folds, split, with_fold
 from tidemark.operators.search import Settings, nested_score, trial_table, with_nested_folds
 from tidemark.session import stage
 
@@ -78,7 +78,7 @@ def out_of_fold(
     patience: int = mo.PATIENCE,
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions of each fold's two models, on its held-out rows and on the test rows."""
-    dealt = stratified_folds(train, folds, seed=SEED)
+    dealt = balanced_folds(train, folds, seed=SEED)
     placed = stage(with_fold(train, dealt), "placed")
     held_out, tests = [], []
     for fold in range(folds):
