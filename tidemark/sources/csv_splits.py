@@ -20,12 +20,16 @@ from pyspark.sql import functions as F
 
 from tidemark.session import small_side, stage
 
-_LINES = "file string, block long, nth long, inside boolean, odd boolean, line string"
+_LINES = "file string, block long, nth long, inside boolean, odd boolean, opened long, opened_turned long, line string"
 
 
 def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of a split come in their order; a task may read several splits, one after another."""
-    at, nth, inside = None, 0, False
+    """Lines of a split come in their order; a task may read several splits, one after another.
+
+    opened: the last line of the split, up to this one, that opens a field if the split starts outside
+    of one; opened_turned: the same if it starts inside; -1 for none.
+    """
+    at, nth, inside, opened = None, 0, False, [-1, -1]
     for batch in batches:
         file, block, line = batch.columns
         if not len(line):
@@ -35,17 +39,22 @@ def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = names.indices.to_numpy()
         first = np.flatnonzero(np.concatenate(([True], (starts[1:] != starts[:-1]) | (ids[1:] != ids[:-1]))))
         number, before = np.zeros(len(odd), np.int64), np.zeros(len(odd), bool)
+        last = [np.zeros(len(odd), np.int64) for _ in range(2)]
         for low, high in zip(first, [*first[1:], len(odd)], strict=True):
             here = (names.dictionary[int(ids[low])].as_py(), int(starts[low]))
             if here != at:
-                at, nth, inside = here, 0, False
+                at, nth, inside, opened = here, 0, False, [-1, -1]
             turned = np.cumsum(odd[low:high]) % 2 == 1
             number[low:high] = np.arange(nth, nth + high - low)
             before[low:high] = np.concatenate(([False], turned[:-1])) ^ inside
+            for turned_in in (0, 1):
+                opens = odd[low:high] & (before[low:high] == bool(turned_in))
+                seen = np.maximum.accumulate(np.where(opens, number[low:high], opened[turned_in]))
+                last[turned_in][low:high], opened[turned_in] = seen, int(seen[-1])
             nth, inside = nth + int(high - low), bool(turned[-1]) ^ inside
         yield pa.RecordBatch.from_arrays(
-            [file, block, pa.array(number), pa.array(before), pa.array(odd), line],
-            names=["file", "block", "nth", "inside", "odd", "line"],
+            [file, block, pa.array(number), pa.array(before), pa.array(odd), *map(pa.array, last), line],
+            names=["file", "block", "nth", "inside", "odd", "opened", "opened_turned", "line"],
         )
 
 
@@ -70,18 +79,18 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     turned = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1
     turned = small_side(blocks.select(*key, turned.alias("turned")))
-    told = lines.join(turned, key).withColumn("inside", F.col("inside") != F.col("turned")).drop("turned")
+    opened = F.when(F.col("turned"), F.col("opened_turned")).otherwise(F.col("opened"))
+    told = lines.join(turned, key).withColumn("inside", F.col("inside") != F.col("turned"))
+    told = told.withColumn("opened", F.when(opened >= 0, opened)).drop("turned", "opened_turned")
     alone = told.where("NOT inside AND NOT odd").select(
         "file", (F.expr("block = 0 AND nth = 0")).alias("header"), F.col("line").alias("record")
     )
-    pieces = told.where("inside OR odd").withColumn("starts", F.expr("NOT inside"))
-    pieces = stage(pieces, "pieces")
-    within = W.partitionBy(*key).orderBy("nth")
-    starts = pieces.groupBy(*key).agg(F.max(F.when(F.col("starts"), F.col("nth"))).alias("last_start"))
+    pieces = told.where("inside OR odd")
+    starts = pieces.groupBy(*key).agg(F.max("opened").alias("last_start"))
     # a split without a start in it hands on the record it is inside of
     carried = F.last(F.when(F.col("last_start").isNotNull(), F.struct(F.col("block").alias("home"), F.col("last_start").alias("home_nth"))), True)
     carried = small_side(starts.select(*key, carried.over(before).alias("carried")))
-    own = F.last(F.when(F.col("starts"), F.struct(F.col("block").alias("home"), F.col("nth").alias("home_nth"))), True).over(within)
+    own = F.when(F.col("opened").isNotNull(), F.struct(F.col("block").alias("home"), F.col("opened").alias("home_nth")))
     placed = (
         pieces.withColumn("own", own)
         .join(carried, key)
