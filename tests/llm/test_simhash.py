@@ -4,9 +4,11 @@ import re
 import pytest
 import xxhash
 
+from tidemark.llm import simhash
 from tidemark.llm.components import components
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.simhash import _signed, fingerprint, keep_one, links, near_duplicates
+from tidemark.session import stage
 
 WORD = re.compile("[^\\x20\\x09-\\x0d]+")
 
@@ -124,3 +126,29 @@ def test_one_doc_id_with_texts_of_several_groups(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(docs).collect() == [] and keep_one(docs).collect() == []
+
+
+def test_no_table_is_broadcast_on_a_guess_of_its_size(spark, monkeypatch):
+    """Spark takes the probes, 33 rows exploded from each of two keys of a node, for a tiny table."""
+    plans = []
+
+    def staged(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(simhash, "stage", staged)
+    close = [(i, " ".join(f"w{j}" for j in range(300)) + f" x{i}") for i in range(40)]
+    docs = spark.createDataFrame(close + [(i, f"alone {i} here") for i in range(40, 80)], "doc_id long, text string")
+    plans.append(near_duplicates(docs, crowded=4)._jdf.queryExecution().executedPlan().toString())
+    joins = [p for p in plans if "Join" in p]
+    probing = [p for p in joins if "explode" in p or "Generate" in p]
+    assert probing and not [p for p in probing if "BroadcastHashJoin" in p]
+
+
+def test_rows_to_keep_are_broadcast_only_after_they_are_measured(spark, monkeypatch):
+    docs = stage(spark.createDataFrame([(i, f"alone {i} here") for i in range(50)], "doc_id long, text string"), "docs")
+    measured = simhash.small_side
+    monkeypatch.setattr(simhash, "small_side", lambda df: measured(df, most=16))
+    plan = keep_one(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert keep_one(docs).count() == 50

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import release, stage
+from tidemark.session import release, small_side, stage
 
 
 def _toward_smallest(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def _toward_smallest(edges: DataFrame) -> DataFrame:
     )
     smallest = both.groupBy("u").agg(F.min("v").alias("m"))
     return (
-        both.join(smallest, "u")
+        both.join(small_side(smallest), "u")
         .where("v > u")
         .select(F.col("v").alias("high"), F.least("u", "m").alias("low"))
         .distinct()
@@ -25,7 +25,7 @@ def _toward_smallest(edges: DataFrame) -> DataFrame:
 def _below_smallest(edges: DataFrame) -> DataFrame:
     """For every node, its smaller neighbours, and itself, are tied to the smallest of them."""
     smallest = edges.groupBy("high").agg(F.min("low").alias("m"))
-    tied = edges.join(smallest, "high").where("low > m").select(F.col("low").alias("high"), F.col("m").alias("low"))
+    tied = edges.join(small_side(smallest), "high").where("low > m").select(F.col("low").alias("high"), F.col("m").alias("low"))
     return tied.union(smallest.select("high", F.col("m").alias("low"))).distinct()
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_bytes, map_batches, texts_of
 from tidemark.llm.components import components
-from tidemark.session import stage
+from tidemark.session import shuffled, small_side, stage
 
 BITS = 64
 SEED = 42
@@ -106,7 +106,7 @@ def links(nodes: DataFrame, distance: int = 3, segments: int = 2, crowded: int =
         "crowded",
     )
     # A crowded value has one row without a fingerprint, so that a look-up meets it once.
-    directory = table.join(full, ["segment", "key"], "left_anti").select("segment", "key", "other").union(
+    directory = table.join(shuffled(full), ["segment", "key"], "left_anti").select("segment", "key", "other").union(
         full.select("segment", "key", F.lit(None).cast("long"))
     )
     probes = nodes.select(
@@ -122,7 +122,7 @@ def links(nodes: DataFrame, distance: int = 3, segments: int = 2, crowded: int =
     ).select("fingerprint", "at.segment", F.explode("at.keys").alias("key"))
     apart = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other")))
     met = stage(
-        probes.join(directory, ["segment", "key"]).where(
+        probes.join(shuffled(directory), ["segment", "key"]).where(
             F.col("other").isNull() | ((F.col("fingerprint") < F.col("other")) & (apart <= distance))
         ),
         "look-ups",
@@ -169,7 +169,7 @@ def _crowded_links(met: DataFrame, widths: list[tuple[int, int]], distance: int,
         .where("x AND y")
     )
     return (
-        marked.join(met_at.drop("x", "y"), at)
+        marked.join(shuffled(met_at.drop("x", "y")), at)
         .where("a <> fingerprint")
         .select("a", F.col("fingerprint").alias("b"))
         .distinct()
@@ -198,12 +198,12 @@ def near_duplicates(
     nodes = stage(own.groupBy("fingerprint").agg(F.min("doc_id").alias("first_doc")), "nodes")
     roots = components(links(nodes.select("fingerprint"), distance, segments, crowded))
     # Only nodes with a link need a group of their own; the others are named by their first row.
-    grouped = nodes.join(roots, nodes.fingerprint == roots.node, "left").select(
+    grouped = nodes.join(shuffled(roots), F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "first_doc", F.coalesce("root", "fingerprint").alias("root")
     )
     names = grouped.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = grouped.join(names, "root").select("fingerprint", "component_id", F.col("root").alias("group_id"))
-    return own.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", "group_id")
+    named = grouped.join(shuffled(names), "root").select("fingerprint", "component_id", F.col("root").alias("group_id"))
+    return own.join(shuffled(named), "fingerprint").select("doc_id", "fingerprint", "component_id", "group_id")
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
@@ -223,8 +223,9 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
         .agg(F.min("component_id").alias("_llm_id"), F.min("fingerprint").alias("_llm_print"))
     )
     rows = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg((F.count("*") == 1).alias("_llm_alone"))
-    firsts = stage(firsts.join(rows, F.col("_llm_id") == F.col("doc_id"), "left").drop("doc_id"), "firsts")
-    kept = docs.join(firsts.where("_llm_alone"), own_id == F.col("_llm_id"), "left_semi")
+    firsts = stage(firsts.join(shuffled(rows), F.col("_llm_id") == F.col("doc_id"), "left").drop("doc_id"), "firsts")
+    alone = small_side(firsts.where("_llm_alone").select("_llm_id"))
+    kept = docs.join(alone, own_id == F.col("_llm_id"), "left_semi")
     # only rows that their doc_id does not tell need their fingerprint again
     several = firsts.where("_llm_alone IS NULL OR NOT _llm_alone").drop("_llm_alone")
     if not several.isEmpty():
@@ -235,9 +236,9 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
             return pd.Series([_signed(fingerprint((t or "").encode(), shingle)) for t in texts])
 
         own = [F.col(f"`{c}`") for c in docs.columns]
-        ids = several.where("_llm_id IS NOT NULL").select(F.col("_llm_id").alias("_llm_own")).distinct()
+        ids = small_side(several.where("_llm_id IS NOT NULL").select(F.col("_llm_id").alias("_llm_own")).distinct())
         told = docs.where(own_id.isNull()).union(docs.join(ids, own_id == F.col("_llm_own"), "left_semi"))
         told = told.select(*own, own_id.alias("_llm_own"), printed(F.col(f"`{text_col}`")).alias("_llm_own_print"))
         same = F.col("_llm_own").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_own_print") == F.col("_llm_print"))
-        kept = kept.union(told.join(several, same).dropDuplicates(["_llm_group"]).select(*own))
+        kept = kept.union(told.join(shuffled(several), same).dropDuplicates(["_llm_group"]).select(*own))
     return kept
