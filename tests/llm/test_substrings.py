@@ -101,3 +101,13 @@ def test_copies_of_a_row_are_worked_on_once(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert cut_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_no_side_is_broadcast_on_a_guess_of_its_size(spark):
+    """The places to cut are arrays of any length, which Spark takes for one entry each."""
+    common = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, f"{common} x{i}") for i in range(6)], "doc_id long, text string")
+    found = cut_repeats(docs, 50)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert sorted(r.cut.n_removed for r in found.collect()) == [0, 80, 80, 80, 80, 80]

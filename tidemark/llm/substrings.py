@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches
-from tidemark.session import small_side, stage
+from tidemark.session import shuffled, small_side, stage
 
 _WORDS = 1 << 17  # hashes of words that a task keeps at hand
 _SEGMENT = "doc_id long, text_key long, first int, runs int, anchor long, span long"
@@ -185,11 +185,11 @@ def repeated_places(docs: DataFrame, window: int, anchor: int, id_col: str, text
         .where("first_doc < last_doc")
         .select("anchor", "first_doc", "several")
     )
-    met = stage(segments.join(shared, "anchor"), "met")
+    met = stage(segments.join(shuffled(shared), "anchor"), "met")
     whole = met.where("NOT several AND doc_id > first_doc")
     several = met.where("several").drop("first_doc")
     first_of_span = several.groupBy("anchor", "span").agg(F.min("doc_id").alias("first_doc"))
-    of_span = stage(several.join(first_of_span, ["anchor", "span"]), "spans")
+    of_span = stage(several.join(shuffled(first_of_span), ["anchor", "span"]), "spans")
     whole = whole.select("doc_id", "text_key", "first", "runs").union(
         of_span.where("doc_id > first_doc").select("doc_id", "text_key", "first", "runs")
     )
@@ -199,7 +199,7 @@ def repeated_places(docs: DataFrame, window: int, anchor: int, id_col: str, text
         .agg(F.collect_list(F.struct("first", "runs")).alias("s"))
         .select("doc_id", "text_key", F.col("s.first").alias("firsts"), F.col("s.runs").alias("counts"))
     )
-    again = texts.join(extended, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "firsts", "counts")
+    again = texts.join(shuffled(extended), ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "firsts", "counts")
     singles = stage(_single_runs(again, window, anchor), "runs")
     first_of_run = (
         singles.groupBy("anchor", "run")
@@ -207,7 +207,7 @@ def repeated_places(docs: DataFrame, window: int, anchor: int, id_col: str, text
         .where("first_doc < last_doc")
     )
     # a written side: a join straight on an aggregate is not split where a run is very common
-    cut = singles.join(stage(first_of_run, "shared-runs"), ["anchor", "run"]).where("doc_id > first_doc")
+    cut = singles.join(shuffled(stage(first_of_run, "shared-runs")), ["anchor", "run"]).where("doc_id > first_doc")
     return (
         whole.union(cut.select("doc_id", "text_key", "first", F.lit(1).alias("runs")))
         .groupBy("doc_id", "text_key")
@@ -262,4 +262,4 @@ def cut_repeats(
     same = (F.col(f"`{id_col}`").cast("long") == F.col("_llm_id")) & (_text_key(text_col) == F.col("_llm_key"))
     text = F.col(f"`{text_col}`").cast("string")
     cut = F.pandas_udf(_cut, "n_words long, n_removed long, kept string")
-    return docs.join(places, same, "left").select(*own, cut(text, "_llm_firsts", "_llm_ends").alias(name))
+    return docs.join(shuffled(places), same, "left").select(*own, cut(text, "_llm_firsts", "_llm_ends").alias(name))

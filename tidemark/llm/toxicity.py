@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, small_batches, texts_of
-from tidemark.session import stage
+from tidemark.session import shuffled, stage
 
 #: Texts that the classifier is fitted on, at most about: confirmed toxic ones, and any ones.
 POSITIVE, UNLABELLED = 4096, 8192
@@ -147,7 +147,7 @@ def _choose(sample: DataFrame, texts: DataFrame, features: int) -> dict[str, flo
     # how many confirmed texts would have it, were they like any texts
     expected = n_p * (F.coalesce("n_u", F.lit(0)) + 0.5) / n_u
     chosen = (
-        in_p.join(in_u, "name", "left")
+        in_p.join(shuffled(in_u), "name", "left")
         .withColumn("gain", (F.col("n_p") - expected) / F.sqrt(expected + 1))
         .where("gain > 0 AND name NOT LIKE '#%'")
         .orderBy(F.desc("gain"), "name")
