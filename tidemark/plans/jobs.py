@@ -28,7 +28,10 @@ from tidemark.operators.lookups import session_starts
 from tidemark.operators import models as mo
 from tidemark.operators.search import (
     BOUNDS,
+    DRAWS,
     GROUP_BOUNDS,
+    GROUP_DRAWS,
+    GUIDED,
     PROBES,
     Settings,
     best_trial,
@@ -230,7 +233,7 @@ def best_trials(files: Files) -> DataFrame:
 
 
 def tune(
-    files: Files, draws: int = 60, guided: int = 100, folds: int = 5, rounds: int = mo.ROUNDS, trees: int = mo.TREES
+    files: Files, draws: int = DRAWS, guided: int = GUIDED, folds: int = 5, rounds: int = mo.ROUNDS, trees: int = mo.TREES
 ) -> DataFrame:
     """Search the settings of the three models; returns the best trials.
 
@@ -250,7 +253,7 @@ def tune(
     return best_trials(files)
 
 
-def tune_groups(files: Files, draws: int = 30, guided: int = 100, trees: int = mo.TREES) -> DataFrame:
+def tune_groups(files: Files, draws: int = GROUP_DRAWS, guided: int = GUIDED, trees: int = mo.TREES) -> DataFrame:
     """Search the settings of the four-class model on event-level features, as `tune` does."""
     train, _, _ = group_matrices(files)
     points = candidates(GROUP_BOUNDS, draws, whole=truncated_settings)
