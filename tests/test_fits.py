@@ -68,3 +68,23 @@ def test_fits_run_at_the_same_time_and_keep_their_order():
         return i * i
 
     assert mo.together(met, range(mo.FITS)) == [i * i for i in range(mo.FITS)]
+
+
+def test_fits_of_a_point_share_the_cores(spark, monkeypatch):
+    """Nine fits, five at a time on eight cores, have two partitions each, and see all their rows."""
+    train, _, _ = pr.matrices(features(spark), features(spark), labels(spark))
+    placed, seen = pr.folds_by_number(train, [9]), []
+
+    class Forest:
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+            return self
+
+        def transform(self, held):
+            return held.withColumn("prediction", F.col("accuracy_group").cast("double"))
+
+    monkeypatch.setattr(mo, "group_model", lambda *args: Forest())
+    (trial,) = pr.tune_group_model(placed, [{"n_splits": 9}]).collect()
+    cores = spark.sparkContext.defaultParallelism
+    assert {n for n, _ in seen} == {-(-cores // mo.FITS)}
+    assert sum(n for _, n in seen) == 8 * 240 and trial.scores == [1.0] * 9
